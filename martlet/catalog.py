@@ -81,3 +81,132 @@ def q_sales_kpis(spark, sf_dir):
 @register("latest_order_dates")
 def q_latest_order_dates(spark, sf_dir):
     return marts.latest_order_dates(clean_build(spark, sf_dir).mart_daily_sales)
+
+
+# --- checks (planted-fault fixture) -------------------------------------------
+from martlet.operators import checks, profile, reconcile  # noqa: E402
+from martlet.plans.staging import stg_events  # noqa: E402
+from martlet.sources import faults  # noqa: E402
+from martlet.sources.driver_tables import SECOND_BATCH, extract  # noqa: E402
+from martlet.config import TABLES  # noqa: E402
+
+
+@register("check_not_null")
+def q_check_not_null(spark, sf_dir):
+    return checks.not_null_suite(faulty_build(spark, sf_dir).models())
+
+
+@register("check_unique")
+def q_check_unique(spark, sf_dir):
+    return checks.unique_suite(faulty_build(spark, sf_dir).models())
+
+
+@register("check_relationships")
+def q_check_relationships(spark, sf_dir):
+    return checks.relationships_suite(faulty_build(spark, sf_dir).models())
+
+
+@register("check_accepted_values")
+def q_check_accepted_values(spark, sf_dir):
+    return checks.accepted_values_suite(faulty_build(spark, sf_dir).models())
+
+
+@register("check_batch_row_count")
+def q_check_batch_row_count(spark, sf_dir):
+    """Staged events lose every tenth key; events are also checked for the
+    second batch, which has no RAW events (``raw_rows = 0``)."""
+    b = clean_build(spark, sf_dir)
+    models = dict(b.staged)
+    models["stg_events"] = faults.truncate_staged(models["stg_events"], "event_id")
+    selected = checks.batch_row_count_suite(models, b.raw, SELECTED_BATCH)
+    empty = checks.batch_row_count("stg_events", stg_events(b.raw["events"], SECOND_BATCH), "events",
+                                   b.raw["events"], SECOND_BATCH)
+    return selected.unionByName(empty)
+
+
+@register("check_summary")
+def q_check_summary(spark, sf_dir):
+    b = faulty_build(spark, sf_dir)
+    return checks.check_summary(b.models(), b.raw, SELECTED_BATCH)
+
+
+# --- reconciliations ------------------------------------------------------------
+
+@register("recon_dimension_coverage")
+def q_recon_dimension_coverage(spark, sf_dir):
+    b = clean_build(spark, sf_dir)
+    return reconcile.dimension_coverage(b.staged["stg_users"], faults.tamper_dim_customers(b.dim_customers),
+                                        b.staged["stg_products"], b.dim_products)
+
+
+@register("recon_fact")
+def q_recon_fact(spark, sf_dir):
+    b = clean_build(spark, sf_dir)
+    return reconcile.fact_reconciliation(faults.tamper_fact(b.fct_order_items), b.staged["stg_order_items"],
+                                         b.staged["stg_orders"], b.staged["stg_inventory_items"])
+
+
+@register("recon_order_quantities")
+def q_recon_order_quantities(spark, sf_dir):
+    b = faulty_build(spark, sf_dir)
+    return reconcile.order_quantities(b.staged["stg_orders"], b.fct_order_items)
+
+
+@register("recon_daily_expected")
+def q_recon_daily_expected(spark, sf_dir):
+    s = clean_build(spark, sf_dir).staged
+    return reconcile.daily_expected(s["stg_order_items"], s["stg_orders"], s["stg_inventory_items"])
+
+
+@register("recon_daily")
+def q_recon_daily(spark, sf_dir):
+    b = clean_build(spark, sf_dir)
+    s = b.staged
+    expected = reconcile.daily_expected(s["stg_order_items"], s["stg_orders"], s["stg_inventory_items"])
+    return reconcile.daily_reconciliation(expected, faults.tamper_mart(b.mart_daily_sales))
+
+
+# --- batch profile (planted-fault RAW, selected batch) ---------------------------
+
+def _faulty_raw(spark, sf_dir):
+    configure(spark)
+    return raw_tables(spark, sf_dir, faulty=True)
+
+
+def _per_table(fn):
+    def q(spark, sf_dir):
+        raw = _faulty_raw(spark, sf_dir)
+        parts = [fn(t, raw[t], SELECTED_BATCH) for t in TABLES]
+        return checks._union([p for p in parts if p is not None])
+    return q
+
+
+register("profile_keys")(_per_table(profile.key_profile))
+register("profile_null_counts")(_per_table(profile.null_counts))
+register("profile_date_ranges")(_per_table(profile.date_ranges))
+register("profile_future_timestamps")(_per_table(profile.future_timestamps))
+register("profile_category_counts")(_per_table(profile.category_counts))
+
+
+@register("profile_orphans")
+def q_profile_orphans(spark, sf_dir):
+    return profile.orphans(_faulty_raw(spark, sf_dir), SELECTED_BATCH)
+
+
+@register("profile_user_mismatch")
+def q_profile_user_mismatch(spark, sf_dir):
+    raw = _faulty_raw(spark, sf_dir)
+    return profile.user_mismatches(raw["order_items"], raw["orders"], SELECTED_BATCH)
+
+
+@register("profile_item_count_mismatch")
+def q_profile_item_count_mismatch(spark, sf_dir):
+    raw = _faulty_raw(spark, sf_dir)
+    return profile.item_count_mismatches(raw["order_items"], raw["orders"], SELECTED_BATCH)
+
+
+@register("profile_gate")
+def q_profile_gate(spark, sf_dir):
+    raw = _faulty_raw(spark, sf_dir)
+    sources = {t: extract(spark, sf_dir, t, faulty=True) for t in TABLES}
+    return profile.gate(profile.table_summary(raw, sources, SELECTED_BATCH))

@@ -294,3 +294,31 @@ def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
         return sql.strip()
     ctes = ",\n".join(f"{n} AS ({lib[n].strip()})" for n in order)
     return f"WITH {ctes}\n{sql.strip()}"
+
+# RAW column order per table (source columns upper-cased, then lineage).
+RAW_COLUMNS = {
+    "distribution_centers": ["ID", "NAME", "LATITUDE", "LONGITUDE", "DISTRIBUTION_CENTER_GEOM"],
+    "events": ["ID", "USER_ID", "SEQUENCE_NUMBER", "SESSION_ID", "CREATED_AT", "IP_ADDRESS", "CITY", "STATE",
+               "POSTAL_CODE", "BROWSER", "TRAFFIC_SOURCE", "URI", "EVENT_TYPE"],
+    "inventory_items": ["ID", "PRODUCT_ID", "CREATED_AT", "SOLD_AT", "COST", "PRODUCT_CATEGORY", "PRODUCT_NAME",
+                        "PRODUCT_BRAND", "PRODUCT_RETAIL_PRICE", "PRODUCT_DEPARTMENT", "PRODUCT_SKU",
+                        "PRODUCT_DISTRIBUTION_CENTER_ID"],
+    "order_items": ["ID", "ORDER_ID", "USER_ID", "PRODUCT_ID", "INVENTORY_ITEM_ID", "STATUS", "CREATED_AT",
+                    "SHIPPED_AT", "DELIVERED_AT", "RETURNED_AT", "SALE_PRICE"],
+    "orders": ["ORDER_ID", "USER_ID", "STATUS", "GENDER", "CREATED_AT", "RETURNED_AT", "SHIPPED_AT",
+               "DELIVERED_AT", "NUM_OF_ITEM"],
+    "products": ["ID", "COST", "CATEGORY", "NAME", "BRAND", "RETAIL_PRICE", "DEPARTMENT", "SKU",
+                 "DISTRIBUTION_CENTER_ID"],
+    "users": ["ID", "FIRST_NAME", "LAST_NAME", "EMAIL", "AGE", "GENDER", "STATE", "STREET_ADDRESS", "POSTAL_CODE",
+              "CITY", "COUNTRY", "LATITUDE", "LONGITUDE", "TRAFFIC_SOURCE", "CREATED_AT", "USER_GEOM"],
+}
+RAW_COLUMNS = {t: cols + ["_BATCH_ID", "_EXTRACTED_AT"] for t, cols in RAW_COLUMNS.items()}
+RAW_TEMPORAL = {
+    "distribution_centers": ["_EXTRACTED_AT"],
+    "events": ["CREATED_AT", "_EXTRACTED_AT"],
+    "inventory_items": ["CREATED_AT", "SOLD_AT", "_EXTRACTED_AT"],
+    "order_items": ["CREATED_AT", "SHIPPED_AT", "DELIVERED_AT", "RETURNED_AT", "_EXTRACTED_AT"],
+    "orders": ["CREATED_AT", "RETURNED_AT", "SHIPPED_AT", "DELIVERED_AT", "_EXTRACTED_AT"],
+    "products": ["_EXTRACTED_AT"],
+    "users": ["CREATED_AT", "_EXTRACTED_AT"],
+}
