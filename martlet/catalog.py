@@ -210,3 +210,142 @@ def q_profile_gate(spark, sf_dir):
     raw = _faulty_raw(spark, sf_dir)
     sources = {t: extract(spark, sf_dir, t, faulty=True) for t in TABLES}
     return profile.gate(profile.table_summary(raw, sources, SELECTED_BATCH))
+
+
+# --- landing and batch selection ------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import TimestampType  # noqa: E402
+
+from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id  # noqa: E402
+from martlet.operators import export  # noqa: E402
+from martlet.plans.pipeline import materialize  # noqa: E402
+from martlet.plans.staging import select_batch  # noqa: E402
+from martlet.session import work_dir  # noqa: E402
+from martlet.sources import landing  # noqa: E402
+from martlet.sources.driver_tables import EXTRACTED_AT, SOURCE_KEYS  # noqa: E402
+from martlet.streaming import landing_stream  # noqa: E402
+
+
+def utc_wall_clock(df: DataFrame) -> DataFrame:
+    """Render tz-aware timestamp columns as UTC ``TIMESTAMP_NTZ`` for stable output."""
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _stamped(spark, sf_dir, table, batch_id):
+    src = extract(spark, sf_dir, table)
+    if batch_id != SELECTED_BATCH:
+        src = src.filter(F.col(SOURCE_KEYS[table]) % 3 != 0)
+    family = "events" if table == "events" else "sales"
+    return landing.stamp_batch(src, batch_id, EXTRACTED_AT[batch_id][family])
+
+
+@register("select_batch")
+def q_select_batch(spark, sf_dir):
+    configure(spark)
+    return utc_wall_clock(select_batch(raw_tables(spark, sf_dir)["orders"], SECOND_BATCH))
+
+
+def _event_instants(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"))
+
+
+@register("land_batch_id_from_ts")
+def q_land_batch_id_from_ts(spark, sf_dir):
+    configure(spark)
+    return _event_instants(spark, sf_dir).select("event_id", batch_id_from_ts("ts").alias("batch_id"))
+
+
+@register("valid_batch_ids")
+def q_valid_batch_ids(spark, sf_dir):
+    """Each event's batch id plus three malformed variants (date only, trailing
+    newline, leading space), validated with the whole-string rule."""
+    configure(spark)
+    bid = batch_id_from_ts("ts")
+    variants = _event_instants(spark, sf_dir).select(
+        "event_id",
+        F.inline(F.array(
+            F.struct(F.lit("as_extracted").alias("variant"), bid.alias("candidate")),
+            F.struct(F.lit("date_only").alias("variant"), F.substring(bid, 1, 8).alias("candidate")),
+            F.struct(F.lit("trailing_newline").alias("variant"), F.concat(bid, F.lit("\n")).alias("candidate")),
+            F.struct(F.lit("leading_space").alias("variant"), F.concat(F.lit(" "), bid).alias("candidate")))))
+    return variants.select("event_id", "variant", "candidate", is_valid_batch_id("candidate").alias("is_valid"))
+
+
+@register("land_stamp_batch")
+def q_land_stamp_batch(spark, sf_dir):
+    configure(spark)
+    return utc_wall_clock(_stamped(spark, sf_dir, "orders", SELECTED_BATCH))
+
+
+@register("land_rowcount_guard")
+def q_land_rowcount_guard(spark, sf_dir):
+    """Land all seven stamped extracts with the torn-write guard."""
+    configure(spark)
+    stamped = {t: _stamped(spark, sf_dir, t, SELECTED_BATCH) for t in TABLES}
+    return landing.rowcount_guard(spark, stamped, f"{work_dir(spark, 'landed')}/{SELECTED_BATCH}")
+
+
+def _manifest(spark, sf_dir):
+    configure(spark)
+    return landing.batch_manifest(raw_tables(spark, sf_dir))
+
+
+@register("land_complete_batches")
+def q_land_complete_batches(spark, sf_dir):
+    return landing.complete_batches(_manifest(spark, sf_dir))
+
+
+@register("land_latest_batch")
+def q_land_latest_batch(spark, sf_dir):
+    return landing.latest_batch(_manifest(spark, sf_dir))
+
+
+@register("land_idempotent_append")
+def q_land_idempotent_append(spark, sf_dir):
+    """Stream the first batch in twice (second pass loads nothing), re-deliver
+    its orders under new paths (ledger drops them), then land the second batch.
+    Returns the RAW row count per (table, batch)."""
+    configure(spark)
+    work = work_dir(spark, "stream-landing")
+    zone, raw_root, ckpt = f"{work}/landing", f"{work}/raw", f"{work}/checkpoints"
+    first = {t: _stamped(spark, sf_dir, t, SELECTED_BATCH) for t in TABLES}
+    schemas = {t: df.schema for t, df in first.items()}
+    for t, df in first.items():
+        landing_stream.land_files(df, zone, t, SELECTED_BATCH)
+    landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt)
+    landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt)
+    landing_stream.land_files(first["orders"], zone, "orders", f"{SELECTED_BATCH}-redelivered")
+    for t in TABLES:
+        if t != "events":
+            landing_stream.land_files(_stamped(spark, sf_dir, t, SECOND_BATCH), zone, t, SECOND_BATCH)
+    landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt)
+    return landing_stream.raw_batch_counts(spark, raw_root, TABLES)
+
+
+# --- export ----------------------------------------------------------------------
+
+def _exported(spark, sf_dir):
+    configure(spark)
+    work = work_dir(spark, "export")
+    mart = materialize(clean_build(spark, sf_dir).mart_daily_sales, f"{work}/mart_daily_sales")
+    return mart, export.export_mart(mart, f"{work}/portfolio")
+
+
+@register("export_daily_mart")
+def q_export_daily_mart(spark, sf_dir):
+    _, paths = _exported(spark, sf_dir)
+    return spark.read.parquet(paths["parquet"])
+
+
+@register("export_verify")
+def q_export_verify(spark, sf_dir):
+    mart, paths = _exported(spark, sf_dir)
+    return export.verify_export(spark, mart, paths)
+
+
+@register("export_fingerprint")
+def q_export_fingerprint(spark, sf_dir):
+    mart, paths = _exported(spark, sf_dir)
+    return export.fingerprint_export(spark, mart, paths)

@@ -111,10 +111,10 @@ def complete_batches(manifest: DataFrame, tables: tuple[str, ...] = TABLES) -> D
         F.count_if(F.col("row_count") == 0).alias("empty_tables"))
     return per_batch.select(
         "batch_id",
-        F.size("tables").alias("table_count"),
+        F.size("tables").cast("bigint").alias("table_count"),
         "total_rows",
-        F.size(F.array_except(expected, F.col("tables"))).alias("missing_tables"),
-        F.size(F.array_except(F.col("tables"), expected)).alias("unknown_tables"),
+        F.size(F.array_except(expected, F.col("tables"))).cast("bigint").alias("missing_tables"),
+        F.size(F.array_except(F.col("tables"), expected)).cast("bigint").alias("unknown_tables"),
         ((F.col("tables") == expected) & (F.col("empty_tables") == 0)).alias("is_complete"))
 
 
