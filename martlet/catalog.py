@@ -14,8 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.plans import marts
-from martlet.plans.pipeline import Build, build
-from martlet.session import configure
+from martlet.plans.pipeline import Build, build, materialize
+from martlet.session import configure, work_dir
+from martlet.sources.raw_store import land_raw
 from martlet.sources.driver_tables import SELECTED_BATCH, raw_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,14 +30,40 @@ def register(name: str):
     return deco
 
 
-def clean_build(spark: SparkSession, sf_dir: str) -> Build:
+_STORED: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def stored_raw(spark: SparkSession, sf_dir: str, faulty: bool = False) -> dict[str, DataFrame]:
+    """RAW derived from the driver tables, landed once per application as a
+    ``_BATCH_ID``-partitioned Parquet table in the checkpoint folder."""
     configure(spark)
-    return build(raw_tables(spark, sf_dir), SELECTED_BATCH)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty)
+    if key not in _STORED:
+        root = work_dir(spark, "raw-faulty" if faulty else "raw")
+        _STORED[key] = land_raw(spark, raw_tables(spark, sf_dir, faulty=faulty), root)
+    return _STORED[key]
+
+
+def clean_build(spark: SparkSession, sf_dir: str) -> Build:
+    return build(stored_raw(spark, sf_dir), SELECTED_BATCH)
 
 
 def faulty_build(spark: SparkSession, sf_dir: str) -> Build:
-    configure(spark)
-    return build(raw_tables(spark, sf_dir, faulty=True), SELECTED_BATCH)
+    return build(stored_raw(spark, sf_dir, faulty=True), SELECTED_BATCH)
+
+
+_FACTS: dict[tuple, DataFrame] = {}
+
+
+def built_tables(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Build:
+    """The build with the fact written as a table (as the marts are in production):
+    checks and reconciliations that read the fact several times read it once
+    from Parquet instead of re-joining staging each time."""
+    b = faulty_build(spark, sf_dir) if faulty else clean_build(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty)
+    if key not in _FACTS:
+        _FACTS[key] = materialize(b.fct_order_items, f"{work_dir(spark, 'fct')}/fct_order_items")
+    return build(b.raw, SELECTED_BATCH, fct=_FACTS[key])
 
 
 # --- pipeline ---------------------------------------------------------------
@@ -93,22 +120,22 @@ from martlet.config import TABLES  # noqa: E402
 
 @register("check_not_null")
 def q_check_not_null(spark, sf_dir):
-    return checks.not_null_suite(faulty_build(spark, sf_dir).models())
+    return checks.not_null_suite(built_tables(spark, sf_dir, faulty=True).models())
 
 
 @register("check_unique")
 def q_check_unique(spark, sf_dir):
-    return checks.unique_suite(faulty_build(spark, sf_dir).models())
+    return checks.unique_suite(built_tables(spark, sf_dir, faulty=True).models())
 
 
 @register("check_relationships")
 def q_check_relationships(spark, sf_dir):
-    return checks.relationships_suite(faulty_build(spark, sf_dir).models())
+    return checks.relationships_suite(built_tables(spark, sf_dir, faulty=True).models())
 
 
 @register("check_accepted_values")
 def q_check_accepted_values(spark, sf_dir):
-    return checks.accepted_values_suite(faulty_build(spark, sf_dir).models())
+    return checks.accepted_values_suite(built_tables(spark, sf_dir, faulty=True).models())
 
 
 @register("check_batch_row_count")
@@ -116,7 +143,7 @@ def q_check_batch_row_count(spark, sf_dir):
     """Staged events lose every tenth key; events are also checked for the
     second batch, which has no RAW events (``raw_rows = 0``)."""
     b = clean_build(spark, sf_dir)
-    models = dict(b.staged)
+    models = dict(b.staged.items())
     models["stg_events"] = faults.truncate_staged(models["stg_events"], "event_id")
     selected = checks.batch_row_count_suite(models, b.raw, SELECTED_BATCH)
     empty = checks.batch_row_count("stg_events", stg_events(b.raw["events"], SECOND_BATCH), "events",
@@ -126,7 +153,7 @@ def q_check_batch_row_count(spark, sf_dir):
 
 @register("check_summary")
 def q_check_summary(spark, sf_dir):
-    b = faulty_build(spark, sf_dir)
+    b = built_tables(spark, sf_dir, faulty=True)
     return checks.check_summary(b.models(), b.raw, SELECTED_BATCH)
 
 
@@ -141,14 +168,14 @@ def q_recon_dimension_coverage(spark, sf_dir):
 
 @register("recon_fact")
 def q_recon_fact(spark, sf_dir):
-    b = clean_build(spark, sf_dir)
+    b = built_tables(spark, sf_dir)
     return reconcile.fact_reconciliation(faults.tamper_fact(b.fct_order_items), b.staged["stg_order_items"],
                                          b.staged["stg_orders"], b.staged["stg_inventory_items"])
 
 
 @register("recon_order_quantities")
 def q_recon_order_quantities(spark, sf_dir):
-    b = faulty_build(spark, sf_dir)
+    b = built_tables(spark, sf_dir, faulty=True)
     return reconcile.order_quantities(b.staged["stg_orders"], b.fct_order_items)
 
 
@@ -160,7 +187,7 @@ def q_recon_daily_expected(spark, sf_dir):
 
 @register("recon_daily")
 def q_recon_daily(spark, sf_dir):
-    b = clean_build(spark, sf_dir)
+    b = built_tables(spark, sf_dir)
     s = b.staged
     expected = reconcile.daily_expected(s["stg_order_items"], s["stg_orders"], s["stg_inventory_items"])
     return reconcile.daily_reconciliation(expected, faults.tamper_mart(b.mart_daily_sales))
@@ -169,8 +196,7 @@ def q_recon_daily(spark, sf_dir):
 # --- batch profile (planted-fault RAW, selected batch) ---------------------------
 
 def _faulty_raw(spark, sf_dir):
-    configure(spark)
-    return raw_tables(spark, sf_dir, faulty=True)
+    return stored_raw(spark, sf_dir, faulty=True)
 
 
 def _per_table(fn):
@@ -218,7 +244,6 @@ from pyspark.sql.types import TimestampType  # noqa: E402
 
 from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id  # noqa: E402
 from martlet.operators import export  # noqa: E402
-from martlet.plans.pipeline import materialize  # noqa: E402
 from martlet.plans.staging import select_batch  # noqa: E402
 from martlet.session import work_dir  # noqa: E402
 from martlet.sources import landing  # noqa: E402
@@ -242,8 +267,7 @@ def _stamped(spark, sf_dir, table, batch_id):
 
 @register("select_batch")
 def q_select_batch(spark, sf_dir):
-    configure(spark)
-    return utc_wall_clock(select_batch(raw_tables(spark, sf_dir)["orders"], SECOND_BATCH))
+    return utc_wall_clock(select_batch(stored_raw(spark, sf_dir)["orders"], SECOND_BATCH))
 
 
 def _event_instants(spark, sf_dir):
@@ -288,8 +312,7 @@ def q_land_rowcount_guard(spark, sf_dir):
 
 
 def _manifest(spark, sf_dir):
-    configure(spark)
-    return landing.batch_manifest(raw_tables(spark, sf_dir))
+    return landing.batch_manifest(stored_raw(spark, sf_dir))
 
 
 @register("land_complete_batches")

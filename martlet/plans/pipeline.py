@@ -2,45 +2,90 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from martlet.plans import marts
-from martlet.plans.staging import stage_all
+from martlet.plans.staging import STAGING, require_batch_id
 
 
-@dataclass
 class Build:
-    raw: dict[str, DataFrame]
-    staged: dict[str, DataFrame]
-    dim_customers: DataFrame
-    dim_products: DataFrame
-    fct_order_items: DataFrame
-    mart_daily_sales: DataFrame
+    """Staging -> dims -> fact -> mart for one batch, constructed on first use.
+
+    Models are built lazily so a query that needs two staged tables does not
+    pay for analysing the other nine. Pass ``fct`` to build the mart from a
+    materialized fact (a written table) instead of re-joining staging.
+    """
+
+    def __init__(self, raw: dict[str, DataFrame], batch_id: str, fct: DataFrame | None = None):
+        require_batch_id(batch_id)
+        self.raw = raw
+        self.batch_id = batch_id
+        self._fct = fct
+        self._staged: dict[str, DataFrame] = {}
+
+    @property
+    def staged(self) -> "_LazyStaged":
+        return _LazyStaged(self)
+
+    def stage(self, model: str) -> DataFrame:
+        if model not in self._staged:
+            table = MODEL_TABLES[model]
+            self._staged[model] = STAGING[table][1](self.raw[table], self.batch_id)
+        return self._staged[model]
+
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        return marts.dim_customers(self.stage("stg_users"))
+
+    @cached_property
+    def dim_products(self) -> DataFrame:
+        return marts.dim_products(self.stage("stg_products"))
+
+    @cached_property
+    def fct_order_items(self) -> DataFrame:
+        if self._fct is not None:
+            return self._fct
+        return marts.fct_order_items(self.stage("stg_order_items"), self.stage("stg_orders"),
+                                     self.stage("stg_inventory_items"))
+
+    @cached_property
+    def mart_daily_sales(self) -> DataFrame:
+        return marts.mart_daily_sales(self.fct_order_items)
 
     def models(self) -> dict[str, DataFrame]:
-        return {**self.staged,
+        return {**{m: self.stage(m) for m in MODEL_TABLES},
                 "dim_customers": self.dim_customers,
                 "dim_products": self.dim_products,
                 "fct_order_items": self.fct_order_items,
                 "mart_daily_sales": self.mart_daily_sales}
 
 
-def build(raw: dict[str, DataFrame], batch_id: str, fct: DataFrame | None = None) -> Build:
-    """Staging -> dims -> fact -> mart for one batch.
+class _LazyStaged:
+    """Mapping view ``staged[model]`` over a Build's lazily staged models."""
 
-    Pass ``fct`` to build the mart from a materialized fact (a written table
-    or a checkpointed DataFrame) instead of re-deriving it.
-    """
-    staged = stage_all(raw, batch_id)
-    fact = fct if fct is not None else marts.fct_order_items(
-        staged["stg_order_items"], staged["stg_orders"], staged["stg_inventory_items"])
-    return Build(raw=raw, staged=staged,
-                 dim_customers=marts.dim_customers(staged["stg_users"]),
-                 dim_products=marts.dim_products(staged["stg_products"]),
-                 fct_order_items=fact,
-                 mart_daily_sales=marts.mart_daily_sales(fact))
+    def __init__(self, b: Build):
+        self._b = b
+
+    def __getitem__(self, model: str) -> DataFrame:
+        return self._b.stage(model)
+
+    def __iter__(self):
+        return iter(MODEL_TABLES)
+
+    def keys(self):
+        return MODEL_TABLES.keys()
+
+    def items(self):
+        return [(m, self._b.stage(m)) for m in MODEL_TABLES]
+
+
+MODEL_TABLES = {model: table for table, (model, _fn) in STAGING.items()}
+
+
+def build(raw: dict[str, DataFrame], batch_id: str, fct: DataFrame | None = None) -> Build:
+    return Build(raw, batch_id, fct)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
