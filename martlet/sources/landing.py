@@ -128,3 +128,18 @@ def latest_batch(manifest: DataFrame, tables: tuple[str, ...] = TABLES) -> DataF
     valid = status.filter(is_valid_batch_id("batch_id"))
     latest = valid.agg(F.max("batch_id").alias("batch_id"))
     return latest.join(status, "batch_id", "left").select("batch_id", "table_count", "is_complete")
+
+
+def align_to_table(df: DataFrame, table_schema: StructType) -> DataFrame:
+    """Match an arriving file to the RAW table by case-insensitive column name.
+
+    Table columns missing from the file become NULL; file columns unknown to
+    the table are not loaded; types are cast to the table's (the table schema
+    is fixed at first load and never evolves).
+    """
+    by_upper = {c.upper(): c for c in df.columns}
+    cols = []
+    for f in table_schema.fields:
+        src = by_upper.get(f.name.upper())
+        cols.append((F.col(src) if src is not None else F.lit(None)).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
