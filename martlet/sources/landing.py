@@ -126,8 +126,8 @@ def latest_batch(manifest: DataFrame, tables: tuple[str, ...] = TABLES) -> DataF
     """
     status = complete_batches(manifest, tables)
     valid = status.filter(is_valid_batch_id("batch_id"))
-    latest = valid.agg(F.max("batch_id").alias("batch_id"))
-    return latest.join(status, "batch_id", "left").select("batch_id", "table_count", "is_complete")
+    # Fixed-width ids sort chronologically; top-1 keeps one row per task, no join back.
+    return valid.orderBy(F.col("batch_id").desc()).limit(1).select("batch_id", "table_count", "is_complete")
 
 
 def align_to_table(df: DataFrame, table_schema: StructType) -> DataFrame:

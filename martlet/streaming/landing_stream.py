@@ -4,14 +4,18 @@ Landed files (already stamped with ``_BATCH_ID`` / ``_EXTRACTED_AT``) sit
 under ``<landing>/<table>/<batch_id>/``. One ``availableNow`` stream per table
 copies every file not yet recorded in its checkpoint into
 ``<raw_root>/<table>/_BATCH_ID=<id>/`` and stops; re-running it on the same
-files loads nothing. The file sink commits through its ``_spark_metadata``
-log, so RAW readers never see a half-written micro-batch, and a lost executor
-only re-runs its task.
+files loads nothing. Each micro-batch is one Parquet append job: task output
+is committed by the job commit, so a lost executor only re-runs its task and
+RAW readers never see a half-written micro-batch.
+
+Contract (as for the reference's ``_SUCCESS`` marker): a batch's files are
+made visible in the landing zone together, after the extract finished.
 
 A checkpoint protects against re-reading the same *paths*. The same batch
 delivered again under new paths is stopped by a ledger guard inside
-``foreachBatch``: batch ids already present in RAW are dropped (left anti
-join on the small per-batch key set) before the append.
+``foreachBatch``: batch ids already committed to RAW (read from its partition
+directory names, one listing) are filtered out before the append. A
+micro-batch retried after its append committed is therefore dropped too.
 """
 
 from __future__ import annotations
@@ -28,11 +32,20 @@ def land_files(df: DataFrame, landing_root: str, table: str, batch_id: str) -> N
     df.write.mode("errorifexists").option("compression", "snappy").parquet(f"{landing_root}/{table}/{batch_id}")
 
 
-def _existing_batches(spark: SparkSession, raw_path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(raw_path).select(BATCH_COL).distinct()
-    except Exception:  # first load: RAW table does not exist yet
-        return None
+def landed_batch_ids(spark: SparkSession, raw_path: str) -> list[str]:
+    """Batch ids already committed to a RAW table, from its partition directories.
+
+    One directory listing (one entry per batch), no data scan: partition
+    directories appear only when a write job commits.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(raw_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    prefix = f"{BATCH_COL}="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(path)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
 
 
 def start_landing_stream(spark: SparkSession, landing_root: str, raw_root: str, table: str,
@@ -41,8 +54,8 @@ def start_landing_stream(spark: SparkSession, landing_root: str, raw_root: str,
     raw_path = f"{raw_root}/{table}"
 
     def append_new(batch_df: DataFrame, _epoch: int) -> None:
-        existing = _existing_batches(batch_df.sparkSession, raw_path)
-        fresh = batch_df if existing is None else batch_df.join(existing, BATCH_COL, "left_anti")
+        existing = landed_batch_ids(batch_df.sparkSession, raw_path)
+        fresh = batch_df.filter(~F.col(BATCH_COL).isin(existing)) if existing else batch_df
         (fresh.write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(raw_path))
 
     stream = spark.readStream.schema(schema).parquet(f"{landing_root}/{table}/*")
