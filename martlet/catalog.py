@@ -330,20 +330,7 @@ def q_land_idempotent_append(spark, sf_dir):
     """Stream the first batch in twice (second pass loads nothing), re-deliver
     its orders under new paths (ledger drops them), then land the second batch.
     Returns the RAW row count per (table, batch)."""
-    configure(spark)
-    work = work_dir(spark, "stream-landing")
-    zone, raw_root, ckpt = f"{work}/landing", f"{work}/raw", f"{work}/checkpoints"
-    first = {t: _stamped(spark, sf_dir, t, SELECTED_BATCH) for t in TABLES}
-    schemas = {t: df.schema for t, df in first.items()}
-    for t, df in first.items():
-        landing_stream.land_files(df, zone, t, SELECTED_BATCH)
-    landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt)
-    landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt)
-    landing_stream.land_files(first["orders"], zone, "orders", f"{SELECTED_BATCH}-redelivered")
-    for t in TABLES:
-        if t != "events":
-            landing_stream.land_files(_stamped(spark, sf_dir, t, SECOND_BATCH), zone, t, SECOND_BATCH)
-    landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt)
+    raw_root, _ = _landing_runs(spark, sf_dir)
     return landing_stream.raw_batch_counts(spark, raw_root, TABLES)
 
 
@@ -372,3 +359,52 @@ def q_export_verify(spark, sf_dir):
 def q_export_fingerprint(spark, sf_dir):
     mart, paths = _exported(spark, sf_dir)
     return export.fingerprint_export(spark, mart, paths)
+
+
+@register("profile_batch")
+def q_profile_batch(spark, sf_dir):
+    """The full per-table profile (one aggregate per table), long form."""
+    raw = _faulty_raw(spark, sf_dir)
+    return checks._union([profile.table_profile(t, raw[t], extract(spark, sf_dir, t, faulty=True), SELECTED_BATCH)
+                          for t in TABLES])
+
+
+def _landing_runs(spark, sf_dir):
+    """First batch streamed twice, its orders re-delivered, then the second batch."""
+    configure(spark)
+    work = work_dir(spark, "stream-landing")
+    zone, raw_root, ckpt = f"{work}/landing", f"{work}/raw", f"{work}/checkpoints"
+    first = {t: _stamped(spark, sf_dir, t, SELECTED_BATCH) for t in TABLES}
+    schemas = {t: df.schema for t, df in first.items()}
+    for t, df in first.items():
+        landing_stream.land_files(df, zone, t, SELECTED_BATCH)
+    runs = [landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt),
+            landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt)]
+    landing_stream.land_files(first["orders"], zone, "orders", f"{SELECTED_BATCH}-redelivered")
+    for t in TABLES:
+        if t != "events":
+            landing_stream.land_files(_stamped(spark, sf_dir, t, SECOND_BATCH), zone, t, SECOND_BATCH)
+    runs.append(landing_stream.run_landing(spark, zone, raw_root, schemas, ckpt))
+    return raw_root, runs
+
+
+@register("land_stream_metrics")
+def q_land_stream_metrics(spark, sf_dir):
+    """Rows read / written per table in each of the three streaming passes."""
+    _, runs = _landing_runs(spark, sf_dir)
+    rows = [(i + 1, t, read, written) for i, run in enumerate(runs) for t, (read, written) in sorted(run.items())]
+    return spark.createDataFrame(rows, "run int, table_name string, rows_read bigint, rows_written bigint")
+
+
+@register("land_batch_append")
+def q_land_batch_append(spark, sf_dir):
+    """Batch variant of the idempotent append: the first batch twice (second
+    append writes 0 rows), then the second batch; RAW counts per (table, batch)."""
+    configure(spark)
+    raw_root = f"{work_dir(spark, 'batch-landing')}/raw"
+    for batch in (SELECTED_BATCH, SELECTED_BATCH, SECOND_BATCH):
+        for t in TABLES:
+            if batch == SECOND_BATCH and t == "events":
+                continue
+            landing.append_new_batches(spark, _stamped(spark, sf_dir, t, batch), raw_root, t)
+    return landing_stream.raw_batch_counts(spark, raw_root, TABLES)

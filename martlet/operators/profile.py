@@ -161,3 +161,52 @@ def gate(summary: DataFrame) -> DataFrame:
     """Tables that fail the batch gate: counts differ, null keys or duplicate keys."""
     failed = (~F.col("row_count_match")) | (F.col("null_keys") > 0) | (F.col("duplicate_key_rows") > 0)
     return summary.filter(failed)
+
+
+def schema_listing(table: str, raw: DataFrame) -> list[tuple[str, str, str]]:
+    """``(table_name, column_name, data_type)`` per column (metadata, no scan)."""
+    return [(table, f.name, f.dataType.simpleString()) for f in raw.schema.fields]
+
+
+def table_profile(table: str, raw: DataFrame, source: DataFrame, batch_id: str) -> DataFrame:
+    """The whole per-table profile from ONE aggregate, in long form.
+
+    ``(table_name, column_name, metric, value)`` with metrics ``source_rows``,
+    ``raw_rows``, ``distinct_keys``, ``null_keys``, ``duplicate_key_rows``,
+    ``row_count_match`` (table level), ``null_count`` (every column), ``min``/``max``
+    (temporal columns, UTC) and ``rows_after_extract`` (business timestamps).
+    Values are text so that one column holds every metric.
+    """
+    key = _col_for(raw, RAW_KEYS[table])
+    cols = raw.columns
+    temporal = temporal_columns(raw)
+    business = [c for c in temporal if not c.startswith("_")]
+    in_raw = F.col("__in_raw")
+    tagged = (_batch(raw, batch_id).select(*cols, F.lit(True).alias("__in_raw"))
+              .unionByName(source.select(F.lit(False).alias("__in_raw")), allowMissingColumns=True))
+    aggs = [F.count_if(~in_raw).alias("source_rows"), F.count_if(in_raw).alias("raw_rows"),
+            F.count_distinct(F.when(in_raw, F.col(key))).alias("distinct_keys")]
+    aggs += [F.count_if(in_raw & F.col(c).isNull()).alias(f"null_count|{c}") for c in cols]
+    aggs += [F.min(F.when(in_raw, F.col(c))).alias(f"min|{c}") for c in temporal]
+    aggs += [F.max(F.when(in_raw, F.col(c))).alias(f"max|{c}") for c in temporal]
+    aggs += [F.count_if(in_raw & (F.col(c) > F.col(EXTRACTED_COL))).alias(f"rows_after_extract|{c}")
+             for c in business]
+    wide = tagged.agg(*aggs)
+
+    def text(c):
+        dt = wide.schema[c].dataType
+        v = F.col(f"`{c}`")
+        return (v.cast("timestamp_ntz") if isinstance(dt, TimestampType) else v).cast("string")
+
+    null_key = F.col(f"`null_count|{key}`")
+    table_level = [("source_rows", F.col("source_rows")), ("raw_rows", F.col("raw_rows")),
+                   ("distinct_keys", F.col("distinct_keys")), ("null_keys", null_key),
+                   ("duplicate_key_rows", F.col("raw_rows") - null_key - F.col("distinct_keys")),
+                   ("row_count_match", F.col("source_rows") == F.col("raw_rows"))]
+    entries = [F.struct(F.lit(None).cast("string").alias("column_name"), F.lit(m).alias("metric"),
+                        v.cast("string").alias("value")) for m, v in table_level]
+    for c in wide.columns[3:]:
+        metric, column = c.split("|", 1)
+        entries.append(F.struct(F.lit(column).alias("column_name"), F.lit(metric).alias("metric"),
+                                text(c).alias("value")))
+    return wide.select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))

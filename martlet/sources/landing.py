@@ -7,6 +7,8 @@ key is ``(_BATCH_ID, source key)``.
 
 from __future__ import annotations
 
+import uuid
+
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -46,7 +48,7 @@ def write_batch_table(df: DataFrame, path: str, expected_rows: int | None = None
     table with 0 rows, or with a count different from the source's own
     count, is a torn extract and fails.
     """
-    obs = Observation(f"landed_{abs(hash(path))}")
+    obs = Observation(f"landed_{uuid.uuid4().hex}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     observed.write.mode("errorifexists").option("compression", "snappy").parquet(path)
     written = int(obs.get["rows"])
@@ -143,3 +145,51 @@ def align_to_table(df: DataFrame, table_schema: StructType) -> DataFrame:
         src = by_upper.get(f.name.upper())
         cols.append((F.col(src) if src is not None else F.lit(None)).cast(f.dataType).alias(f.name))
     return df.select(*cols)
+
+
+def landed_batch_ids(spark: SparkSession, raw_path: str) -> list[str]:
+    """Batch ids already committed to a RAW table, from its partition directories.
+
+    One directory listing (one entry per batch), no data scan: a partition
+    directory appears only when a write job commits.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(raw_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    prefix = f"{BATCH_COL}="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(path)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+
+def append_new_batches(spark: SparkSession, df: DataFrame, raw_root: str, table: str) -> int:
+    """Idempotent batch append: the first load creates the table from the
+    arriving schema; later loads are aligned by name to that fixed schema,
+    batches already in RAW are skipped, and the rows appended are returned
+    (0 when everything was loaded before).
+    """
+    path = f"{raw_root}/{table}"
+    existing = landed_batch_ids(spark, path)
+    if existing:
+        table_schema = spark.read.parquet(path).schema
+        data_fields = StructType([f for f in table_schema.fields if f.name != BATCH_COL])
+        df = align_to_table(df, StructType(list(data_fields.fields) + [StructField(BATCH_COL, StringType())]))
+        df = df.filter(~F.col(BATCH_COL).isin(existing))
+    obs = Observation(f"appended_{uuid.uuid4().hex}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed.write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(path)
+    return int(obs.get["rows"])
+
+
+def assert_loadable(status: DataFrame, batch_id: str) -> None:
+    """Refuse to load a batch that is malformed, unknown, incomplete, has
+    unknown tables or is empty (one status row comes to the driver)."""
+    require_batch_id(batch_id)
+    row = status.filter(F.col("batch_id") == batch_id).first()
+    if row is None:
+        raise ValueError(f"batch {batch_id} contains no tables")
+    if row["unknown_tables"]:
+        raise ValueError(f"unexpected tables in batch {batch_id}")
+    if not row["is_complete"]:
+        raise ValueError(f"batch {batch_id} is incomplete")

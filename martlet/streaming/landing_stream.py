@@ -20,11 +20,14 @@ micro-batch retried after its append committed is therefore dropped too.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martlet.config import BATCH_COL
+from martlet.sources.landing import landed_batch_ids
 
 
 def land_files(df: DataFrame, landing_root: str, table: str, batch_id: str) -> None:
@@ -32,31 +35,23 @@ def land_files(df: DataFrame, landing_root: str, table: str, batch_id: str) -> N
     df.write.mode("errorifexists").option("compression", "snappy").parquet(f"{landing_root}/{table}/{batch_id}")
 
 
-def landed_batch_ids(spark: SparkSession, raw_path: str) -> list[str]:
-    """Batch ids already committed to a RAW table, from its partition directories.
+def start_landing_stream(spark: SparkSession, landing_root: str, raw_root: str, table: str,
+                         schema: StructType, checkpoint: str, written: list | None = None):
+    """Start an ``availableNow`` stream for one table; returns the StreamingQuery.
 
-    One directory listing (one entry per batch), no data scan: partition
-    directories appear only when a write job commits.
+    ``written`` (optional) collects the rows appended by each micro-batch,
+    observed during the write itself.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(raw_path)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    prefix = f"{BATCH_COL}="
-    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(path)
-                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
-
-
-def start_landing_stream(spark: SparkSession, landing_root: str, raw_root: str, table: str,
-                         schema: StructType, checkpoint: str):
-    """Start an ``availableNow`` stream for one table; returns the StreamingQuery."""
     raw_path = f"{raw_root}/{table}"
 
-    def append_new(batch_df: DataFrame, _epoch: int) -> None:
+    def append_new(batch_df: DataFrame, epoch: int) -> None:
         existing = landed_batch_ids(batch_df.sparkSession, raw_path)
         fresh = batch_df.filter(~F.col(BATCH_COL).isin(existing)) if existing else batch_df
-        (fresh.write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(raw_path))
+        obs = Observation(f"landed_{table}_{epoch}_{uuid.uuid4().hex}")
+        (fresh.observe(obs, F.count(F.lit(1)).alias("rows"))
+         .write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(raw_path))
+        if written is not None:
+            written.append(int(obs.get["rows"]))
 
     stream = spark.readStream.schema(schema).parquet(f"{landing_root}/{table}/*")
     return (stream.writeStream.foreachBatch(append_new)
@@ -66,15 +61,20 @@ def start_landing_stream(spark: SparkSession, landing_root: str, raw_root: str,
 
 
 def run_landing(spark: SparkSession, landing_root: str, raw_root: str, schemas: dict[str, StructType],
-                checkpoint_root: str) -> dict[str, int]:
-    """Run one availableNow pass for every table concurrently; rows read per table."""
-    queries = {t: start_landing_stream(spark, landing_root, raw_root, t, s, f"{checkpoint_root}/{t}")
+                checkpoint_root: str) -> dict[str, tuple[int, int]]:
+    """Run one availableNow pass for every table concurrently.
+
+    Returns ``{table: (rows_read, rows_written)}``: rows read come from the
+    query progress (``numInputRows``), rows written from the observed appends.
+    """
+    written = {t: [] for t in schemas}
+    queries = {t: start_landing_stream(spark, landing_root, raw_root, t, s, f"{checkpoint_root}/{t}", written[t])
                for t, s in schemas.items()}
-    loaded = {}
+    out = {}
     for t, q in queries.items():
         q.awaitTermination()
-        loaded[t] = int(sum(p["numInputRows"] for p in q.recentProgress))
-    return loaded
+        out[t] = (int(sum(p["numInputRows"] for p in q.recentProgress)), sum(written[t]))
+    return out
 
 
 def raw_batch_counts(spark: SparkSession, raw_root: str, tables) -> DataFrame:

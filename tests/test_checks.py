@@ -39,3 +39,10 @@ def test_batch_row_count_fails_on_empty_or_different(spark):
     assert (bad.raw_rows, bad.staged_rows) == (3, 2)
     empty = checks.batch_row_count("m", staged3.limit(0), "t", raw, "20260301T000000Z").first()
     assert (empty.raw_rows, empty.staged_rows) == (0, 0)
+
+
+def test_schema_listing_is_metadata_only(spark):
+    from martlet.operators.profile import schema_listing
+    df = spark.createDataFrame([], "ID long, CREATED_AT timestamp, _BATCH_ID string")
+    assert schema_listing("t", df) == [("t", "ID", "bigint"), ("t", "CREATED_AT", "timestamp"),
+                                       ("t", "_BATCH_ID", "string")]

@@ -61,3 +61,32 @@ def test_manifest_completeness_and_latest(spark):
     assert status["20260201T000000Z"].unknown_tables == 1 and status["20260201T000000Z"].missing_tables == 6
     latest = landing.latest_batch(m).first()
     assert latest.batch_id == "20260201T000000Z" and latest.is_complete is False
+
+
+def test_assert_loadable_refuses_incomplete_unknown_and_missing(spark):
+    m = spark.createDataFrame(
+        [(t, "20260101T000000Z", 5) for t in ("distribution_centers", "events", "inventory_items", "order_items",
+                                                "orders", "products", "users")]
+        + [("orders", "20260201T000000Z", 3)],
+        "table_name string, batch_id string, row_count long")
+    status = landing.complete_batches(m)
+    landing.assert_loadable(status, "20260101T000000Z")
+    for bad in ("20260201T000000Z", "20260301T000000Z"):
+        with pytest.raises(ValueError):
+            landing.assert_loadable(status, bad)
+    with pytest.raises(ValueError):
+        landing.assert_loadable(status, "20260101T000000Z\n")
+
+
+def test_append_new_batches_is_idempotent_and_aligns_by_name(spark):
+    root = tempfile.mkdtemp(prefix="martlet-append-")
+    first = landing.stamp_batch(spark.createDataFrame([(1, "a"), (2, "b")], "id long, status string"),
+                                "20260101T000000Z", "2026-01-01 00:00:00")
+    assert landing.append_new_batches(spark, first, root, "t") == 2
+    assert landing.append_new_batches(spark, first, root, "t") == 0          # already loaded
+    later = landing.stamp_batch(spark.createDataFrame([("c", 3, "x")], "Status string, ID int, extra string"),
+                                "20260201T000000Z", "2026-02-01 00:00:00")
+    assert landing.append_new_batches(spark, later, root, "t") == 1
+    got = spark.read.parquet(f"{root}/t")
+    assert sorted(got.columns) == ["ID", "STATUS", "_BATCH_ID", "_EXTRACTED_AT"]
+    assert sorted((r.ID, r.STATUS) for r in got.collect()) == [(1, "a"), (2, "b"), (3, "c")]
