@@ -2,10 +2,10 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query is executed in full with the ``noop`` sink (no driver collect);
-``build_sales`` times the materialized build (fact written once, then the
-mart, KPIs and reconciliations read the written fact), which is the shape of
-the reference's sales build. JVM start-up and one warm-up pass are excluded. Deriving the RAW fixture from
+Each query is executed in full with the ``noop`` sink (no driver collect) and
+timed as the best of two runs (steady state). ``staging_build`` and
+``sales_build`` reproduce the shape of the reference's two published build
+timings: 7 staging views + 58 tests, and 4 written tables + 34 tests. JVM start-up and one warm-up pass are excluded. Deriving the RAW fixture from
 the driver tables and landing it (the reference's extract/load step, which its
 build timings also exclude) and writing the fact tables are reported under
 ``setup``; ``value`` is the sum of the per-query times.
@@ -22,7 +22,9 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from martlet.catalog import REGISTRY, built_tables, clean_build, stored_raw  # noqa: E402
-from martlet.operators import reconcile  # noqa: E402
+from martlet.config import DECLARED_TESTS  # noqa: E402
+from martlet.operators import checks, reconcile  # noqa: E402
+from martlet.sources.driver_tables import SELECTED_BATCH  # noqa: E402
 from martlet.plans import marts  # noqa: E402
 from martlet.plans.pipeline import materialize  # noqa: E402
 from martlet.session import build_session, work_dir  # noqa: E402
@@ -40,18 +42,47 @@ def run_noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def build_sales(spark, sf_dir) -> None:
-    """Materialized sales build: fact -> table, then mart/KPIs/reconciliations from it."""
+def staging_build(spark, sf_dir) -> int:
+    """The reference's staging build: 7 staging views + their 58 declared tests."""
+    b = clean_build(spark, sf_dir)
+    declared = {m: spec for m, spec in DECLARED_TESTS.items() if m.startswith("stg_")}
+    return len(checks.check_summary(b.models(), b.raw, SELECTED_BATCH, declared).collect())
+
+
+def sales_build(spark, sf_dir) -> int:
+    """The reference's sales build: 4 tables written (dims, fact, mart from the
+    written fact) + their 30 declared tests + the 4 singular reconciliations."""
     b = clean_build(spark, sf_dir)
     work = work_dir(spark, "bench-build")
-    fct = materialize(b.fct_order_items, f"{work}/fct_order_items")
-    mart = materialize(marts.mart_daily_sales(fct), f"{work}/mart_daily_sales")
+    tables = {name: materialize(getattr(b, name), f"{work}/{name}")
+              for name in ("dim_customers", "dim_products", "fct_order_items")}
+    tables["mart_daily_sales"] = materialize(marts.mart_daily_sales(tables["fct_order_items"]),
+                                             f"{work}/mart_daily_sales")
     s = b.staged
-    run_noop(marts.sales_kpis(fct))
-    run_noop(reconcile.fact_reconciliation(fct, s["stg_order_items"], s["stg_orders"], s["stg_inventory_items"]))
-    run_noop(reconcile.order_quantities(s["stg_orders"], fct))
-    run_noop(reconcile.daily_reconciliation(
-        reconcile.daily_expected(s["stg_order_items"], s["stg_orders"], s["stg_inventory_items"]), mart))
+    models = {**{m: s[m] for m in s.keys()}, **tables}
+    declared = {m: spec for m, spec in DECLARED_TESTS.items() if not m.startswith("stg_")}
+    n = len(checks.check_summary(models, b.raw, SELECTED_BATCH, declared).collect())
+    singular = [
+        reconcile.dimension_coverage(s["stg_users"], tables["dim_customers"], s["stg_products"], tables["dim_products"]),
+        reconcile.fact_reconciliation(tables["fct_order_items"], s["stg_order_items"], s["stg_orders"],
+                                      s["stg_inventory_items"]),
+        reconcile.order_quantities(s["stg_orders"], tables["fct_order_items"]),
+        reconcile.daily_reconciliation(
+            reconcile.daily_expected(s["stg_order_items"], s["stg_orders"], s["stg_inventory_items"]),
+            tables["mart_daily_sales"]),
+    ]
+    for df in singular:
+        run_noop(df)
+    return n + len(singular)
+
+
+def best_of(n: int, fn) -> float:
+    best = float("inf")
+    for _ in range(n):
+        t = time.perf_counter()
+        fn()
+        best = min(best, time.perf_counter() - t)
+    return round(best, 3)
 
 
 def main() -> None:
@@ -71,12 +102,9 @@ def main() -> None:
     setup["write_fact_tables"] = round(time.perf_counter() - t, 3)
     run_noop(REGISTRY["mart_daily_sales"](spark, sf_dir))  # warm-up: JIT, file listing caches
     for name in HEADLINE:
-        t = time.perf_counter()
-        run_noop(REGISTRY[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t, 3)
-    t = time.perf_counter()
-    build_sales(spark, sf_dir)
-    times["build_sales"] = round(time.perf_counter() - t, 3)
+        times[name] = best_of(2, lambda: run_noop(REGISTRY[name](spark, sf_dir)))
+    times["staging_build"] = best_of(2, lambda: staging_build(spark, sf_dir))
+    times["sales_build"] = best_of(2, lambda: sales_build(spark, sf_dir))
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "setup": setup, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,

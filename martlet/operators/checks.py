@@ -120,8 +120,10 @@ def check_summary(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch
     values, orphan child rows, unexpected values, or 1 for a failed row-count
     reconciliation.
     """
-    parts = [not_null_suite(models, declared)
-             .select(F.lit("not_null").alias("test_name"), "model", "column_name", "failures")]
+    parts = []
+    if any(True for _ in _declared("not_null", models, declared)):
+        parts.append(not_null_suite(models, declared)
+                     .select(F.lit("not_null").alias("test_name"), "model", "column_name", "failures"))
     for m, cols in _declared("unique", models, declared):
         for c in cols:
             parts.append(unique(m, models[m], c).agg(F.count(F.lit(1)).alias("failures"))
