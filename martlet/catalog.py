@@ -12,12 +12,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
+from martlet.config import TABLES
+from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id
+from martlet.operators import checks, export, profile, reconcile
 from martlet.plans import marts
 from martlet.plans.pipeline import Build, build, materialize
+from martlet.plans.staging import select_batch, stg_events
 from martlet.session import configure, work_dir
+from martlet.sources import faults, landing
+from martlet.sources.driver_tables import (EXTRACTED_AT, SECOND_BATCH, SELECTED_BATCH, SOURCE_KEYS, SOURCE_TABLE,
+                                           extract, raw_tables)
 from martlet.sources.raw_store import land_raw
-from martlet.sources.driver_tables import SELECTED_BATCH, raw_tables
+from martlet.streaming import landing_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -111,11 +120,6 @@ def q_latest_order_dates(spark, sf_dir):
 
 
 # --- checks (planted-fault fixture) -------------------------------------------
-from martlet.operators import checks, profile, reconcile  # noqa: E402
-from martlet.plans.staging import stg_events  # noqa: E402
-from martlet.sources import faults  # noqa: E402
-from martlet.sources.driver_tables import SECOND_BATCH, extract  # noqa: E402
-from martlet.config import TABLES  # noqa: E402
 
 
 @register("check_not_null")
@@ -203,7 +207,7 @@ def _per_table(fn):
     def q(spark, sf_dir):
         raw = _faulty_raw(spark, sf_dir)
         parts = [fn(t, raw[t], SELECTED_BATCH) for t in TABLES]
-        return checks._union([p for p in parts if p is not None])
+        return checks.union_all([p for p in parts if p is not None])
     return q
 
 
@@ -239,16 +243,7 @@ def q_profile_gate(spark, sf_dir):
 
 
 # --- landing and batch selection ------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import TimestampType  # noqa: E402
 
-from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id  # noqa: E402
-from martlet.operators import export  # noqa: E402
-from martlet.plans.staging import select_batch  # noqa: E402
-from martlet.session import work_dir  # noqa: E402
-from martlet.sources import landing  # noqa: E402
-from martlet.sources.driver_tables import EXTRACTED_AT, SOURCE_KEYS  # noqa: E402
-from martlet.streaming import landing_stream  # noqa: E402
 
 
 def utc_wall_clock(df: DataFrame) -> DataFrame:
@@ -308,7 +303,10 @@ def q_land_rowcount_guard(spark, sf_dir):
     """Land all seven stamped extracts with the torn-write guard."""
     configure(spark)
     stamped = {t: _stamped(spark, sf_dir, t, SELECTED_BATCH) for t in TABLES}
-    return landing.rowcount_guard(spark, stamped, f"{work_dir(spark, 'landed')}/{SELECTED_BATCH}")
+    # The source's own row count: each extract is one row per row of its driver
+    # table, counted from Parquet footers (no data pages read).
+    expected = {t: spark.read.parquet(f"{sf_dir}/{SOURCE_TABLE[t]}.parquet").count() for t in TABLES}
+    return landing.rowcount_guard(spark, stamped, f"{work_dir(spark, 'landed')}/{SELECTED_BATCH}", expected)
 
 
 def _manifest(spark, sf_dir):
@@ -365,7 +363,7 @@ def q_export_fingerprint(spark, sf_dir):
 def q_profile_batch(spark, sf_dir):
     """The full per-table profile (one aggregate per table), long form."""
     raw = _faulty_raw(spark, sf_dir)
-    return checks._union([profile.table_profile(t, raw[t], extract(spark, sf_dir, t, faulty=True), SELECTED_BATCH)
+    return checks.union_all([profile.table_profile(t, raw[t], extract(spark, sf_dir, t, faulty=True), SELECTED_BATCH)
                           for t in TABLES])
 
 

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from martlet.config import BATCH_COL, DECLARED_TESTS
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """``UNION ALL`` by column name of one or more DataFrames."""
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -87,28 +88,28 @@ def _declared(kind: str, models: dict[str, DataFrame], declared: dict):
 
 
 def not_null_suite(models: dict[str, DataFrame], declared: dict = DECLARED_TESTS) -> DataFrame:
-    return _union([not_null(m, models[m], cols) for m, cols in _declared("not_null", models, declared)])
+    return union_all([not_null(m, models[m], cols) for m, cols in _declared("not_null", models, declared)])
 
 
 def unique_suite(models: dict[str, DataFrame], declared: dict = DECLARED_TESTS) -> DataFrame:
-    return _union([unique(m, models[m], c) for m, cols in _declared("unique", models, declared) for c in cols])
+    return union_all([unique(m, models[m], c) for m, cols in _declared("unique", models, declared) for c in cols])
 
 
 def relationships_suite(models: dict[str, DataFrame], declared: dict = DECLARED_TESTS) -> DataFrame:
-    return _union([relationships(m, models[m], col, parent, models[parent], field)
+    return union_all([relationships(m, models[m], col, parent, models[parent], field)
                    for m, rels in _declared("relationships", models, declared)
                    for col, (parent, field) in rels.items()])
 
 
 def accepted_values_suite(models: dict[str, DataFrame], declared: dict = DECLARED_TESTS) -> DataFrame:
-    return _union([accepted_values(m, models[m], col, vals)
+    return union_all([accepted_values(m, models[m], col, vals)
                    for m, spec in _declared("accepted_values", models, declared)
                    for col, vals in spec.items()])
 
 
 def batch_row_count_suite(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch_id: str,
                           declared: dict = DECLARED_TESTS) -> DataFrame:
-    return _union([batch_row_count(m, models[m], src, raw[src], batch_id)
+    return union_all([batch_row_count(m, models[m], src, raw[src], batch_id)
                    for m, src in _declared("row_count_source", models, declared)])
 
 
@@ -148,4 +149,4 @@ def check_summary(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch
                                    F.lit(None).cast("string").alias("column_name"),
                                    F.when((F.col("r") == 0) | (F.col("r") != F.col("s")), 1).otherwise(0)
                                    .cast("bigint").alias("failures")))
-    return _union(parts)
+    return union_all(parts)

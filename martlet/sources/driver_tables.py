@@ -34,6 +34,9 @@ EXTRACTED_AT = {
     SECOND_BATCH: {"sales": "2001-07-01 00:00:00", "events": "2024-01-30 00:00:00"},
 }
 SOURCE_KEYS = {name: "id" for name in TABLES} | {"orders": "order_id"}
+# Driver table each extract has one row per row of.
+SOURCE_TABLE = {"distribution_centers": "supplier", "events": "events", "inventory_items": "lineitem",
+                "order_items": "lineitem", "orders": "orders", "products": "part", "users": "customer"}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

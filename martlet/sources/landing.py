@@ -59,16 +59,19 @@ def write_batch_table(df: DataFrame, path: str, expected_rows: int | None = None
     return written
 
 
-def rowcount_guard(spark: SparkSession, extracts: dict[str, DataFrame], root: str) -> DataFrame:
+def rowcount_guard(spark: SparkSession, extracts: dict[str, DataFrame], root: str,
+                   expected_rows: dict[str, int] | None = None) -> DataFrame:
     """Land each extract under ``root/<table>`` with the torn-write guard.
 
-    Returns ``(table_name, expected_rows, written_rows, rows_match)``; the expected
-    count comes from the source side (one aggregate per table), the written
-    count from the write's observation.
+    Returns ``(table_name, expected_rows, written_rows, rows_match)``. The
+    expected count is the source's own row count (``expected_rows``, e.g. from
+    table metadata or a Parquet footer count); only when it is not given is
+    the extract counted separately. The written count is observed during the
+    write, so each extract is computed once.
     """
     rows = []
     for name in sorted(extracts):
-        expected = extracts[name].count()
+        expected = expected_rows[name] if expected_rows is not None else extracts[name].count()
         written = write_batch_table(extracts[name], f"{root}/{name}", expected)
         rows.append((name, expected, written, expected == written))
     schema = "table_name string, expected_rows bigint, written_rows bigint, rows_match boolean"

@@ -4,8 +4,8 @@ Used as the correctness oracle: every registered Spark query has a SQL twin
 built from these CTEs over the driver's tables (``lineitem``, ``orders``,
 ``customer``, ``nation``, ``part``, ``supplier``, ``events`` views).
 
-``with_ctes(sql, *names)`` prepends the named CTEs and their dependencies
-in dependency order. Faulty variants use the ``f_`` prefix.
+``with_ctes(sql, extra)`` prepends every CTE the query references, with
+their dependencies, in dependency order. Faulty variants use the ``f_`` prefix.
 """
 
 from __future__ import annotations
@@ -269,10 +269,6 @@ LIBRARY = _library()
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
-def _deps(sql: str) -> list[str]:
-    return [w for w in dict.fromkeys(_WORD.findall(sql)) if w in LIBRARY]
-
-
 def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
     """Prepend every library CTE that ``sql`` (transitively) references."""
     lib = {**LIBRARY, **(extra or {})}
