@@ -12,7 +12,13 @@ A check returns the violations as a DataFrame; zero rows means pass.
   parent in the anti join, so a hot foreign key cannot skew the join.
 * ``accepted_values``: values outside the list, with their count (NULL passes).
 * ``batch_row_count``: the selected batch's RAW count must be non-zero and equal
-  the staged count. Both counts come from one union + aggregate.
+  the staged count. Both counts come from one union + aggregate; a suite of
+  them is one tagged union with a single grouped count.
+
+Suites fuse further: per model, all declared ``unique`` / ``relationships`` /
+``accepted_values`` columns are read in one scan as ``(column_name, value)``
+pairs and checked with one grouped aggregate (and one anti join against the
+tagged union of the parents' keys).
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from martlet.config import BATCH_COL, DECLARED_TESTS
 
@@ -67,6 +74,67 @@ def accepted_values(model: str, df: DataFrame, column: str, values) -> DataFrame
                       F.col("v").cast("string").alias("value"), "n_records")
 
 
+def _common_type(df: DataFrame, columns: list[str]):
+    types = {df.schema[c].dataType for c in columns}
+    return types.pop() if len(types) == 1 else StringType()
+
+
+def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One scan of ``df`` -> ``(column_name, v)`` for several columns (``v`` of a common type)."""
+    t = _common_type(df, columns)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(t).alias("v")) for c in columns])
+    return df.select(F.inline(pairs))
+
+
+def unique_fused(model: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """``unique`` for several columns of one model: one scan, one grouped aggregate."""
+    if len(columns) == 1:
+        return unique(model, df, columns[0])
+    dup = (_long(df, columns).filter(F.col("v").isNotNull())
+           .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n_records"))
+           .filter(F.col("n_records") > 1))
+    return dup.select(F.lit(model).alias("model"), "column_name", F.col("v").cast("string").alias("value"),
+                      "n_records")
+
+
+def relationships_fused(model: str, df: DataFrame, rels: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """``relationships`` for several foreign keys of one model.
+
+    The child is scanned once and reduced to ``(column_name, value, n_rows)``;
+    the parents' keys are tagged with the child column they serve and unioned;
+    one anti join on ``(column_name, value)`` finds every orphan value.
+    """
+    cols = list(rels)
+    if len(cols) == 1:
+        (parent_model, parent, field), = rels.values()
+        return relationships(model, df, cols[0], parent_model, parent, field)
+    t = _common_type(df, cols)
+    child = (_long(df, cols).filter(F.col("v").isNotNull())
+             .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n_records")))
+    keys = union_all([parent.select(F.lit(c).alias("column_name"), F.col(field).cast(t).alias("v"))
+                      for c, (_pm, parent, field) in rels.items()])
+    names = F.create_map(*[x for c, (pm, _p, f) in rels.items() for x in (F.lit(c), F.array(F.lit(pm), F.lit(f)))])
+    orphans = child.join(keys, ["column_name", "v"], "left_anti")
+    target = names[F.col("column_name")]
+    return orphans.select(F.lit(model).alias("model"), "column_name",
+                          target[0].alias("parent_model"), target[1].alias("parent_column"),
+                          F.col("v").cast("string").alias("value"), "n_records")
+
+
+def accepted_values_fused(model: str, df: DataFrame, spec: dict[str, tuple]) -> DataFrame:
+    """``accepted_values`` for several columns of one model: one scan, one grouped aggregate."""
+    cols = list(spec)
+    if len(cols) == 1:
+        return accepted_values(model, df, cols[0], spec[cols[0]])
+    t = _common_type(df, cols)
+    counts = _long(df, cols).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n_records"))
+    allowed = [(F.col("column_name") == c) & F.col("v").isin([F.lit(v).cast(t) for v in vals])
+               for c, vals in spec.items()]
+    bad = counts.filter(F.col("v").isNotNull() & ~reduce(lambda a, b: a | b, allowed))
+    return bad.select(F.lit(model).alias("model"), "column_name", F.col("v").cast("string").alias("value"),
+                      "n_records")
+
+
 def batch_row_count(model: str, staged: DataFrame, source_table: str, raw: DataFrame,
                     batch_id: str) -> DataFrame:
     """``(model, source_table, batch_id, raw_rows, staged_rows)`` when failing."""
@@ -91,26 +159,52 @@ def not_null_suite(models: dict[str, DataFrame], declared: dict = DECLARED_TESTS
     return union_all([not_null(m, models[m], cols) for m, cols in _declared("not_null", models, declared)])
 
 
+def _rels(models: dict[str, DataFrame], rels: dict) -> dict:
+    return {col: (parent, models[parent], field) for col, (parent, field) in rels.items()}
+
+
 def unique_suite(models: dict[str, DataFrame], declared: dict = DECLARED_TESTS) -> DataFrame:
-    return union_all([unique(m, models[m], c) for m, cols in _declared("unique", models, declared) for c in cols])
+    return union_all([unique_fused(m, models[m], cols) for m, cols in _declared("unique", models, declared)])
 
 
 def relationships_suite(models: dict[str, DataFrame], declared: dict = DECLARED_TESTS) -> DataFrame:
-    return union_all([relationships(m, models[m], col, parent, models[parent], field)
-                   for m, rels in _declared("relationships", models, declared)
-                   for col, (parent, field) in rels.items()])
+    return union_all([relationships_fused(m, models[m], _rels(models, rels))
+                      for m, rels in _declared("relationships", models, declared)])
 
 
 def accepted_values_suite(models: dict[str, DataFrame], declared: dict = DECLARED_TESTS) -> DataFrame:
-    return union_all([accepted_values(m, models[m], col, vals)
-                   for m, spec in _declared("accepted_values", models, declared)
-                   for col, vals in spec.items()])
+    return union_all([accepted_values_fused(m, models[m], spec)
+                      for m, spec in _declared("accepted_values", models, declared)])
+
+
+def row_counts(pairs: list[tuple[str, DataFrame, str, DataFrame]], batch_id: str) -> DataFrame:
+    """``(model, source_table, raw_rows, staged_rows)`` for every (model, staged, source, raw).
+
+    All scans are tagged and unioned into ONE grouped count (one tiny shuffle);
+    the declared list is the left side, so an empty batch still reports 0.
+    """
+    spark = pairs[0][1].sparkSession
+    tagged = union_all(
+        [raw.filter(F.col(BATCH_COL) == F.lit(batch_id)).select(F.lit(m).alias("model"), F.lit(True).alias("is_raw"))
+         for m, _staged, _src, raw in pairs]
+        + [staged.select(F.lit(m).alias("model"), F.lit(False).alias("is_raw")) for m, staged, _src, _raw in pairs])
+    counts = tagged.groupBy("model").agg(F.count_if(F.col("is_raw")).alias("raw_rows"),
+                                         F.count_if(~F.col("is_raw")).alias("staged_rows"))
+    listed = spark.createDataFrame([(m, src) for m, _s, src, _r in pairs], "model string, source_table string")
+    return listed.join(counts, "model", "left").select(
+        "model", "source_table", F.coalesce("raw_rows", F.lit(0)).alias("raw_rows"),
+        F.coalesce("staged_rows", F.lit(0)).alias("staged_rows"))
+
+
+def _row_count_failed() -> "F.Column":
+    return (F.col("raw_rows") == 0) | (F.col("raw_rows") != F.col("staged_rows"))
 
 
 def batch_row_count_suite(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch_id: str,
                           declared: dict = DECLARED_TESTS) -> DataFrame:
-    return union_all([batch_row_count(m, models[m], src, raw[src], batch_id)
-                   for m, src in _declared("row_count_source", models, declared)])
+    pairs = [(m, models[m], src, raw[src]) for m, src in _declared("row_count_source", models, declared)]
+    return (row_counts(pairs, batch_id).filter(_row_count_failed())
+            .select("model", "source_table", F.lit(batch_id).alias("batch_id"), "raw_rows", "staged_rows"))
 
 
 def check_summary(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch_id: str,
@@ -125,28 +219,25 @@ def check_summary(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch
     if any(True for _ in _declared("not_null", models, declared)):
         parts.append(not_null_suite(models, declared)
                      .select(F.lit("not_null").alias("test_name"), "model", "column_name", "failures"))
-    for m, cols in _declared("unique", models, declared):
-        for c in cols:
-            parts.append(unique(m, models[m], c).agg(F.count(F.lit(1)).alias("failures"))
-                         .select(F.lit("unique").alias("test_name"), F.lit(m).alias("model"),
-                                 F.lit(c).alias("column_name"), "failures"))
-    for m, rels in _declared("relationships", models, declared):
-        for col, (parent, field) in rels.items():
-            parts.append(relationships(m, models[m], col, parent, models[parent], field)
-                         .agg(F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("failures"))
-                         .select(F.lit("relationships").alias("test_name"), F.lit(m).alias("model"),
-                                 F.lit(col).alias("column_name"), "failures"))
-    for m, spec in _declared("accepted_values", models, declared):
-        for col, vals in spec.items():
-            parts.append(accepted_values(m, models[m], col, vals).agg(F.count(F.lit(1)).alias("failures"))
-                         .select(F.lit("accepted_values").alias("test_name"), F.lit(m).alias("model"),
-                                 F.lit(col).alias("column_name"), "failures"))
-    for m, src in _declared("row_count_source", models, declared):
-        tagged = (raw[src].filter(F.col(BATCH_COL) == F.lit(batch_id)).select(F.lit(True).alias("is_raw"))
-                  .unionByName(models[m].select(F.lit(False).alias("is_raw"))))
-        counts = tagged.agg(F.count_if(F.col("is_raw")).alias("r"), F.count_if(~F.col("is_raw")).alias("s"))
-        parts.append(counts.select(F.lit("batch_row_count_matches").alias("test_name"), F.lit(m).alias("model"),
-                                   F.lit(None).cast("string").alias("column_name"),
-                                   F.when((F.col("r") == 0) | (F.col("r") != F.col("s")), 1).otherwise(0)
-                                   .cast("bigint").alias("failures")))
+    # Fused detail rows per model, then failures per declared test. Tests with no
+    # violation have no detail row, so the declared list is the left side.
+    for kind, detail, failures in (
+            ("unique", unique_suite, F.count(F.lit(1))),
+            ("relationships", relationships_suite, F.sum("n_records")),
+            ("accepted_values", accepted_values_suite, F.count(F.lit(1)))):
+        tests = [(m, c) for m, spec in _declared(kind, models, declared) for c in spec]
+        if not tests:
+            continue
+        per_test = (detail(models, declared).groupBy("model", "column_name")
+                    .agg(failures.cast("bigint").alias("failures")))
+        listed = models[tests[0][0]].sparkSession.createDataFrame(tests, "model string, column_name string")
+        parts.append(listed.join(per_test, ["model", "column_name"], "left")
+                     .select(F.lit(kind).alias("test_name"), "model", "column_name",
+                             F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
+    pairs = [(m, models[m], src, raw[src]) for m, src in _declared("row_count_source", models, declared)]
+    if pairs:
+        parts.append(row_counts(pairs, batch_id).select(
+            F.lit("batch_row_count_matches").alias("test_name"), "model",
+            F.lit(None).cast("string").alias("column_name"),
+            F.when(_row_count_failed(), 1).otherwise(0).cast("bigint").alias("failures")))
     return union_all(parts)
