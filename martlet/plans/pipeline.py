@@ -14,15 +14,17 @@ class Build:
     """Staging -> dims -> fact -> mart for one batch, constructed on first use.
 
     Models are built lazily so a query that needs two staged tables does not
-    pay for analysing the other nine. Pass ``fct`` to build the mart from a
-    materialized fact (a written table) instead of re-joining staging.
+    pay for analysing the other nine. Pass ``fct`` (and ``mart``) to use
+    materialized tables instead of re-joining / re-aggregating staging.
     """
 
-    def __init__(self, raw: dict[str, DataFrame], batch_id: str, fct: DataFrame | None = None):
+    def __init__(self, raw: dict[str, DataFrame], batch_id: str, fct: DataFrame | None = None,
+                 mart: DataFrame | None = None):
         require_batch_id(batch_id)
         self.raw = raw
         self.batch_id = batch_id
         self._fct = fct
+        self._mart = mart
         self._staged: dict[str, DataFrame] = {}
 
     @property
@@ -52,6 +54,8 @@ class Build:
 
     @cached_property
     def mart_daily_sales(self) -> DataFrame:
+        if self._mart is not None:
+            return self._mart
         return marts.mart_daily_sales(self.fct_order_items)
 
     def models(self) -> dict[str, DataFrame]:
@@ -84,8 +88,9 @@ class _LazyStaged:
 MODEL_TABLES = {model: table for table, (model, _fn) in STAGING.items()}
 
 
-def build(raw: dict[str, DataFrame], batch_id: str, fct: DataFrame | None = None) -> Build:
-    return Build(raw, batch_id, fct)
+def build(raw: dict[str, DataFrame], batch_id: str, fct: DataFrame | None = None,
+          mart: DataFrame | None = None) -> Build:
+    return Build(raw, batch_id, fct, mart)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
