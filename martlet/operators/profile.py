@@ -5,10 +5,13 @@ the distinct and null key counts, the null count of every column, min/max of
 every timestamp/date column and the count of business timestamps later than
 ``_EXTRACTED_AT``. Nine anti joins count orphans, two joins check business
 consistency, and a gate lists the tables that fail.
+
+Orphan counts reuse the fused relationship check: one scan per child table.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from martlet.config import BATCH_COL, CATEGORY_COLUMNS, EXTRACTED_COL, RAW_KEYS, RAW_RELATIONSHIPS
+from martlet.operators.checks import relationships_fused
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -97,19 +101,24 @@ def category_counts(table: str, raw: DataFrame, batch_id: str) -> DataFrame | No
 def orphans(raw: dict[str, DataFrame], batch_id: str) -> DataFrame:
     """Nine rows ``(child_table, foreign_key, parent_table, parent_key, orphan_rows)``.
 
-    NULL foreign keys are excluded. The child is reduced to ``(fk, n)`` before
-    the anti join, so a hot key is one row, not a third of the table.
+    NULL foreign keys are excluded. Edges are fused per child table: the child
+    is scanned once and reduced to ``(fk, value, n)`` before one anti join
+    against its parents' keys, so a hot key is one row, not a third of the
+    table. The edge list is the left side, so edges without orphans report 0.
     """
-    parts = []
+    by_child: dict[str, dict] = defaultdict(dict)
     for child, fk, parent, pk in RAW_RELATIONSHIPS:
-        c = (_batch(raw[child], batch_id).select(F.col(fk).alias("k")).filter(F.col("k").isNotNull())
-             .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
-        p = _batch(raw[parent], batch_id).select(F.col(pk).alias("k"))
-        missing = c.join(p, "k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
-        parts.append(missing.select(F.lit(child).alias("child_table"), F.lit(fk).alias("foreign_key"),
-                                    F.lit(parent).alias("parent_table"), F.lit(pk).alias("parent_key"),
-                                    "orphan_rows"))
-    return _union(parts)
+        by_child[child][fk] = (parent, _batch(raw[parent], batch_id), pk)
+    detail = _union([relationships_fused(child, _batch(raw[child], batch_id), rels)
+                     for child, rels in by_child.items()])
+    counts = detail.groupBy(F.col("model").alias("child_table"), F.col("column_name").alias("foreign_key")).agg(
+        F.sum("n_records").alias("n"))
+    spark = next(iter(raw.values())).sparkSession
+    edges = spark.createDataFrame(list(RAW_RELATIONSHIPS),
+                                  "child_table string, foreign_key string, parent_table string, parent_key string")
+    return edges.join(counts, ["child_table", "foreign_key"], "left").select(
+        "child_table", "foreign_key", "parent_table", "parent_key",
+        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
 
 
 def user_mismatches(raw_items: DataFrame, raw_orders: DataFrame, batch_id: str) -> DataFrame:
