@@ -2,10 +2,9 @@
 
 Mapping (same values in Spark and in the DuckDB oracle):
 
-* order_items / inventory_items <- lineitem, one row each; id =
-  ``l_orderkey*1000 + row_number()`` within the order (ordered by line number,
-  part, supplier, price). The window is partitioned by the order key, the same
-  key the items are joined on afterwards, so the plan shuffles once.
+* order_items / inventory_items <- lineitem, one row each; id = the line's
+  rank in the global order (order key, line number, part, supplier, price),
+  computed without any per-group window (``item_lines``).
 * orders <- orders (+ real item count), users <- customer + nation,
   products <- part, distribution_centers <- supplier, events <- events.
 * Batches: the first batch holds every row; the second holds the rows whose
@@ -24,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlet.config import TABLES
+from martlet.session import checkpoint_root
 from martlet.sources.landing import stamp_batch
 
 # --- fixed values: fixture batches -----------------------------------------
@@ -59,11 +59,42 @@ def _str(c: Column) -> Column:
     return c.cast("string")
 
 
+ITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+_POS_BITS = 33  # monotonically_increasing_id() = partition index << 33 | position in partition
+_LINES: dict[tuple, DataFrame] = {}
+
+
 def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with a numeric order-item id, unique within the order."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return (_read(spark, sf_dir, "lineitem")
-            .withColumn("item_id", F.col("l_orderkey") * 1000 + F.row_number().over(w)))
+    """Line items with a numeric order-item id: the row's rank in the global
+    order of ``ITEM_ORDER`` (unique per line; an order's items are contiguous).
+
+    No per-group window is used, so no order, however large, lands in one
+    task: a range-partitioned sort spreads even one huge order over many
+    tasks (the range bounds include the secondary sort columns). Each row's
+    (partition, position) is taken once and cut from the lineage with a
+    reliable ``checkpoint()`` in ``spark.checkpoint.dir``, so the partition
+    sizes and the rows read the same stored data. The id is the position plus
+    the rows of all earlier partitions; that offset table has one row per
+    partition, so broadcasting it is bounded by the partition count. The rank
+    does not depend on how rows were partitioned, so every evaluation yields
+    the same ids. Computed once per application and source folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LINES:
+        checkpoint_root(spark)
+        located = (_read(spark, sf_dir, "lineitem").repartitionByRange(*ITEM_ORDER)
+                   .sortWithinPartitions(*ITEM_ORDER)
+                   .withColumn("_mid", F.monotonically_increasing_id())
+                   .checkpoint(eager=True))
+        part = F.shiftright("_mid", _POS_BITS)
+        sizes = located.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        _LINES[key] = (located.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+                       .withColumn("item_id", F.col("_offset")
+                                   + F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1) + 1)
+                       .drop("_mid", "_part", "_offset"))
+    return _LINES[key]
 
 
 def _item_status() -> Column:

@@ -26,8 +26,8 @@ TABLES = tuple(sorted(TABLE_KEYS))
 
 SRC = {
     "lines": """
-SELECT *, l_orderkey * 1000 + row_number() OVER (
-    PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS item_id
+SELECT *, row_number() OVER (
+    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS item_id
 FROM lineitem""",
     "src_order_items": """
 SELECT item_id AS id, l_orderkey AS order_id, o.o_custkey AS user_id, l_partkey AS product_id,
