@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 
 import duckdb
 
@@ -14,7 +15,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 def duckdb_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"SET TimeZone = '{os.environ.get("ORACLE_TZ", "UTC")}'")
     for t in DRIVER_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
