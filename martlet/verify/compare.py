@@ -47,6 +47,18 @@ def canonical_rows(columns: list[str], rows: list[tuple]) -> tuple[list[str], li
     return cols, out
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                   "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                   "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> list[tuple[str, str, str]]:
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    oracle = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [(c, t, oracle.get(c)) for c, t in spark_df.dtypes
+            if oracle.get(c) != SPARK_TO_DUCKDB.get(t, t.upper())]
+
+
 def compare(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> dict:
     s_rows = [tuple(r) for r in spark_df.collect()]
     s_cols = list(spark_df.columns)
@@ -55,8 +67,11 @@ def compare(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> dict:
     d_rows = rel.fetchall()
     sc, sr = canonical_rows(s_cols, s_rows)
     dc, dr = canonical_rows(d_cols, d_rows)
-    result = {"spark_rows": len(sr), "oracle_rows": len(dr), "columns_match": sc == dc,
+    mismatched = type_mismatches(spark_df, con, sql)
+    result = {"spark_rows": len(sr), "oracle_rows": len(dr), "columns_match": sc == dc and not mismatched,
               "values_match": sr == dr}
+    if mismatched:
+        result["type_mismatches"] = mismatched
     if sc != dc:
         result["spark_cols"], result["oracle_cols"] = sc, dc
     elif sr != dr:
