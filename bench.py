@@ -23,7 +23,7 @@ sys.path.insert(0, ROOT)
 
 from martlet.catalog import REGISTRY, built_tables, clean_build, stored_raw  # noqa: E402
 from martlet.config import DECLARED_TESTS  # noqa: E402
-from martlet.operators import checks, reconcile  # noqa: E402
+from martlet.operators import checks  # noqa: E402
 from martlet.sources.driver_tables import SELECTED_BATCH  # noqa: E402
 from martlet.plans import marts  # noqa: E402
 from martlet.plans.job import build_and_check  # noqa: E402

@@ -9,6 +9,7 @@ non-empty evidence rather than a bare "0 violations".
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ def register(name: str):
 
 
 _STORED: dict[tuple, dict[str, DataFrame]] = {}
+_LOCK = threading.RLock()  # callers may run queries from several threads
 
 
 def stored_raw(spark: SparkSession, sf_dir: str, faulty: bool = False) -> dict[str, DataFrame]:
@@ -47,10 +49,11 @@ def stored_raw(spark: SparkSession, sf_dir: str, faulty: bool = False) -> dict[s
     ``_BATCH_ID``-partitioned Parquet table in the checkpoint folder."""
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty)
-    if key not in _STORED:
-        root = work_dir(spark, "raw-faulty" if faulty else "raw")
-        _STORED[key] = land_raw(spark, raw_tables(spark, sf_dir, faulty=faulty), root)
-    return _STORED[key]
+    with _LOCK:
+        if key not in _STORED:
+            root = work_dir(spark, "raw-faulty" if faulty else "raw")
+            _STORED[key] = land_raw(spark, raw_tables(spark, sf_dir, faulty=faulty), root)
+        return _STORED[key]
 
 
 def clean_build(spark: SparkSession, sf_dir: str) -> Build:
@@ -70,12 +73,13 @@ def built_tables(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Buil
     and re-aggregating staging for every check."""
     b = faulty_build(spark, sf_dir) if faulty else clean_build(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty)
-    if key not in _TABLES:
-        root = work_dir(spark, "marts-faulty" if faulty else "marts")
-        fct = materialize(b.fct_order_items, f"{root}/fct_order_items")
-        mart = materialize(marts.mart_daily_sales(fct), f"{root}/mart_daily_sales")
-        _TABLES[key] = (fct, mart)
-    fct, mart = _TABLES[key]
+    with _LOCK:
+        if key not in _TABLES:
+            root = work_dir(spark, "marts-faulty" if faulty else "marts")
+            fct = materialize(b.fct_order_items, f"{root}/fct_order_items")
+            mart = materialize(marts.mart_daily_sales(fct), f"{root}/mart_daily_sales")
+            _TABLES[key] = (fct, mart)
+        fct, mart = _TABLES[key]
     return build(b.raw, SELECTED_BATCH, fct=fct, mart=mart)
 
 

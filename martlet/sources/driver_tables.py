@@ -17,6 +17,7 @@ and the profile have something to find (see ``plant_faults``).
 
 from __future__ import annotations
 
+import threading
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -62,6 +63,7 @@ def _str(c: Column) -> Column:
 ITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 _POS_BITS = 33  # monotonically_increasing_id() = partition index << 33 | position in partition
 _LINES: dict[tuple, DataFrame] = {}
+_LINES_LOCK = threading.Lock()
 
 
 def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,21 +82,26 @@ def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     the same ids. Computed once per application and source folder.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _LINES:
-        checkpoint_root(spark)
-        located = (_read(spark, sf_dir, "lineitem").repartitionByRange(*ITEM_ORDER)
-                   .sortWithinPartitions(*ITEM_ORDER)
-                   .withColumn("_mid", F.monotonically_increasing_id())
-                   .checkpoint(eager=True))
-        part = F.shiftright("_mid", _POS_BITS)
-        sizes = located.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-        _LINES[key] = (located.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-                       .withColumn("item_id", F.col("_offset")
-                                   + F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1) + 1)
-                       .drop("_mid", "_part", "_offset"))
-    return _LINES[key]
+    with _LINES_LOCK:
+        if key not in _LINES:
+            _LINES[key] = _rank_lines(spark, sf_dir)
+        return _LINES[key]
+
+
+def _rank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global rank of every line in ``ITEM_ORDER`` (see ``item_lines``)."""
+    checkpoint_root(spark)
+    located = (_read(spark, sf_dir, "lineitem").repartitionByRange(*ITEM_ORDER)
+               .sortWithinPartitions(*ITEM_ORDER)
+               .withColumn("_mid", F.monotonically_increasing_id())
+               .checkpoint(eager=True))
+    part = F.shiftright("_mid", _POS_BITS)
+    sizes = located.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (located.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn("item_id", F.col("_offset") + F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1) + 1)
+            .drop("_mid", "_part", "_offset"))
 
 
 def _item_status() -> Column:
