@@ -35,23 +35,34 @@ def land_files(df: DataFrame, landing_root: str, table: str, batch_id: str) -> N
     df.write.mode("errorifexists").option("compression", "snappy").parquet(f"{landing_root}/{table}/{batch_id}")
 
 
+def append_micro_batch(batch_df: DataFrame, raw_path: str) -> int:
+    """The ``foreachBatch`` body: append the rows of batches not yet in RAW.
+
+    Safe to replay: a micro-batch re-run after its append committed (driver
+    lost between the write and the checkpoint commit) finds its batch ids
+    already landed and appends nothing. Returns the rows appended, observed
+    during the write itself.
+    """
+    existing = landed_batch_ids(batch_df.sparkSession, raw_path)
+    fresh = batch_df.filter(~F.col(BATCH_COL).isin(existing)) if existing else batch_df
+    obs = Observation(f"landed_{uuid.uuid4().hex}")
+    (fresh.observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(raw_path))
+    return int(obs.get["rows"])
+
+
 def start_landing_stream(spark: SparkSession, landing_root: str, raw_root: str, table: str,
                          schema: StructType, checkpoint: str, written: list | None = None):
     """Start an ``availableNow`` stream for one table; returns the StreamingQuery.
 
-    ``written`` (optional) collects the rows appended by each micro-batch,
-    observed during the write itself.
+    ``written`` (optional) collects the rows appended by each micro-batch.
     """
     raw_path = f"{raw_root}/{table}"
 
-    def append_new(batch_df: DataFrame, epoch: int) -> None:
-        existing = landed_batch_ids(batch_df.sparkSession, raw_path)
-        fresh = batch_df.filter(~F.col(BATCH_COL).isin(existing)) if existing else batch_df
-        obs = Observation(f"landed_{table}_{epoch}_{uuid.uuid4().hex}")
-        (fresh.observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(raw_path))
+    def append_new(batch_df: DataFrame, _epoch: int) -> None:
+        rows = append_micro_batch(batch_df, raw_path)
         if written is not None:
-            written.append(int(obs.get["rows"]))
+            written.append(rows)
 
     stream = spark.readStream.schema(schema).parquet(f"{landing_root}/{table}/*")
     return (stream.writeStream.foreachBatch(append_new)
