@@ -43,6 +43,12 @@ def fact_reconciliation(fct: DataFrame, stg_items: DataFrame, stg_orders: DataFr
     inventory by id only (staging holds one batch). Twenty violation terms:
     every comparison is null-safe except the margin identity, which uses a
     plain ``<>`` (a NULL margin passes).
+
+    The full outer join is written as its two halves so that every join is one
+    AQE can split when a key is hot: fact LEFT JOIN items (a fanned-out item
+    key on the fact side is split across tasks), plus the items whose key never
+    occurs in the fact, found with an anti join against the fact's *distinct*
+    keys. NULL keys behave as in the full outer join (they never match).
     """
     f = fct.select(*[F.col(c).alias(f"f_{c}") for c in fct.columns])
     s = stg_items.select(*[F.col(c).alias(f"s_{c}") for c in stg_items.columns])
@@ -52,9 +58,12 @@ def fact_reconciliation(fct: DataFrame, stg_items: DataFrame, stg_orders: DataFr
     i = stg_inventory.select(F.col("inventory_item_id").alias("i_inventory_item_id"),
                              F.col("cost").alias("i_cost"), F.col("source_batch_id").alias("i_source_batch_id"),
                              F.col("product_id").alias("i_product_id"))
-    j = (f.join(s, F.col("f_order_item_id") == F.col("s_order_item_id"), "full")
-          .join(o, F.col("s_order_id") == F.col("o_order_id"), "left")
-          .join(i, F.col("s_inventory_item_id") == F.col("i_inventory_item_id"), "left"))
+    fact_keys = fct.select(F.col("order_item_id").alias("k")).distinct()
+    items_only = s.join(fact_keys, F.col("s_order_item_id") == F.col("k"), "left_anti")
+    outer = (f.join(s, F.col("f_order_item_id") == F.col("s_order_item_id"), "left")
+             .unionByName(items_only, allowMissingColumns=True))
+    j = (outer.join(o, F.col("s_order_id") == F.col("o_order_id"), "left")
+         .join(i, F.col("s_inventory_item_id") == F.col("i_inventory_item_id"), "left"))
     c = F.col
     s_amount = c("s_sale_price").cast(MONEY)
     i_cost = c("i_cost").cast(MONEY)

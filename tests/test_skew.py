@@ -90,3 +90,43 @@ def test_fact_join_splits_the_hot_order(spark, skew_conf):
     assert len(fct.collect()) == 20000                                 # runs this DataFrame's own plan
     final = fct._jdf.queryExecution().executedPlan().toString()      # the final adaptive plan
     assert "skew=true" in final                                      # AQE split the hot order's partition
+
+
+def test_fact_reconciliation_splits_a_fanned_out_key(spark, skew_conf):
+    from decimal import Decimal
+
+    from martlet.operators import reconcile
+    x = dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)
+    items = spark.range(4000).select(
+        F.col("id"), (F.col("id") % 300).alias("order_id"), F.lit(5).cast("long").alias("user_id"),
+        F.lit(3).cast("long").alias("product_id"), F.col("id").alias("inventory_item_id"),
+        F.lit("Complete").alias("status"), F.lit(dt.datetime(2020, 1, 1)).cast("timestamp").alias("created_at"),
+        *[F.lit(None).cast("timestamp").alias(c) for c in ("shipped_at", "delivered_at", "returned_at")],
+        F.lit(10.0).alias("sale_price"))
+    orders = spark.range(300).select(
+        F.col("id").alias("order_id"), F.lit(5).cast("long").alias("user_id"), F.lit("Complete").alias("status"),
+        F.lit("F").alias("gender"), F.lit(dt.datetime(2020, 1, 2)).cast("timestamp").alias("created_at"),
+        *[F.lit(None).cast("timestamp").alias(c) for c in ("returned_at", "shipped_at", "delivered_at")],
+        F.lit(1).cast("long").alias("num_of_item"))
+    inv = spark.range(4000).select(
+        F.col("id"), F.lit(3).cast("long").alias("product_id"),
+        *[F.lit(None).cast("timestamp").alias(c) for c in ("created_at", "sold_at")], F.lit(1.5).alias("cost"),
+        *[F.lit(None).cast("string").alias(c) for c in ("product_category", "product_name", "product_brand",
+                                                        "product_department", "product_sku")],
+        F.lit(1.0).alias("product_retail_price"), F.lit(1).cast("long").alias("product_distribution_center_id"))
+    raw = {"order_items": stamp_batch(items, B, x), "orders": stamp_batch(orders, B, x),
+           "inventory_items": stamp_batch(inv, B, x)}
+    b = build(raw, B)
+    fct = b.fct_order_items
+    # 5,000 copies of item 42, each with a different wrong cost (distinct rows, so the
+    # shuffle does not compress them away and AQE sees the skew by size)
+    hot = (fct.filter(F.col("order_item_id") == 42)
+           .crossJoin(spark.range(5000).withColumnRenamed("id", "_copy"))      # test fixture only
+           .withColumn("unit_cost", (F.lit(Decimal("9.0000")) + F.col("_copy") / 10000).cast("decimal(18,4)"))
+           .drop("_copy"))
+    tampered = fct.filter(F.col("order_item_id") != 42).unionByName(hot)
+    s = b.staged
+    out = reconcile.fact_reconciliation(tampered, s["stg_order_items"], s["stg_orders"], s["stg_inventory_items"])
+    rows = out.collect()
+    assert len(rows) == 5000 and {r.order_item_id for r in rows} == {42}     # every fanned-out row reported
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
