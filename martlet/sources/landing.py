@@ -156,12 +156,19 @@ def landed_batch_ids(spark: SparkSession, raw_path: str) -> list[str]:
     One directory listing (one entry per batch), no data scan: a partition
     directory appears only when a write job commits.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(raw_path)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{BATCH_COL}="
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(raw_path)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    except Exception:  # no JVM gateway (e.g. a Spark Connect client): read the partition values
+        try:
+            rows = spark.read.parquet(raw_path).select(BATCH_COL).distinct().collect()
+        except Exception:  # the table does not exist yet
+            return []
+        return sorted(r[0] for r in rows)
     if not fs.exists(path):
         return []
-    prefix = f"{BATCH_COL}="
     return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(path)
                   if st.isDirectory() and st.getPath().getName().startswith(prefix))
 
