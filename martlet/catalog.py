@@ -56,15 +56,25 @@ def stored_raw(spark: SparkSession, sf_dir: str, faulty: bool = False) -> dict[s
         return _STORED[key]
 
 
-def clean_build(spark: SparkSession, sf_dir: str) -> Build:
-    return build(stored_raw(spark, sf_dir), SELECTED_BATCH)
+_BUILDS: dict[tuple, Build] = {}
 
 
-def faulty_build(spark: SparkSession, sf_dir: str) -> Build:
-    return build(stored_raw(spark, sf_dir, faulty=True), SELECTED_BATCH)
+def _cached_build(spark: SparkSession, sf_dir: str, faulty: bool) -> Build:
+    """One lazily built set of models per application and input: DataFrames are
+    immutable plans, so queries reuse the already analysed staging models."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty, "views")
+    with _LOCK:
+        if key not in _BUILDS:
+            _BUILDS[key] = build(stored_raw(spark, sf_dir, faulty=faulty), SELECTED_BATCH)
+        return _BUILDS[key]
+
+
+def clean_build(spark: SparkSession, sf_dir: str) -> Build:
+    return _cached_build(spark, sf_dir, False)
 
 
-_TABLES: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+def faulty_build(spark: SparkSession, sf_dir: str) -> Build:
+    return _cached_build(spark, sf_dir, True)
 
 
 def built_tables(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Build:
@@ -72,15 +82,14 @@ def built_tables(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Buil
     checks and reconciliations read them from Parquet instead of re-joining
     and re-aggregating staging for every check."""
     b = faulty_build(spark, sf_dir) if faulty else clean_build(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty, "tables")
     with _LOCK:
-        if key not in _TABLES:
+        if key not in _BUILDS:
             root = work_dir(spark, "marts-faulty" if faulty else "marts")
             fct = materialize(b.fct_order_items, f"{root}/fct_order_items")
             mart = materialize(marts.mart_daily_sales(fct), f"{root}/mart_daily_sales")
-            _TABLES[key] = (fct, mart)
-        fct, mart = _TABLES[key]
-    return build(b.raw, SELECTED_BATCH, fct=fct, mart=mart)
+            _BUILDS[key] = b.with_tables(fct, mart)
+        return _BUILDS[key]
 
 
 # --- pipeline ---------------------------------------------------------------

@@ -27,6 +27,12 @@ class Build:
         self._mart = mart
         self._staged: dict[str, DataFrame] = {}
 
+    def with_tables(self, fct: DataFrame, mart: DataFrame | None = None) -> "Build":
+        """The same build reading written fact (and mart) tables; staging models are shared."""
+        other = Build(self.raw, self.batch_id, fct, mart)
+        other._staged = self._staged
+        return other
+
     @property
     def staged(self) -> "_LazyStaged":
         return _LazyStaged(self)
