@@ -219,3 +219,38 @@ def table_profile(table: str, raw: DataFrame, source: DataFrame, batch_id: str)
         entries.append(F.struct(F.lit(column).alias("column_name"), F.lit(metric).alias("metric"),
                                 text(c).alias("value")))
     return wide.select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
+
+
+def run_profile(raw: dict[str, DataFrame], sources: dict[str, DataFrame], batch_id: str, out_root: str,
+                fail_on_gate: bool = True) -> dict[str, str]:
+    """Profile one batch and write every part as a table under ``out_root``.
+
+    Tables: ``table_profile`` (long form, one aggregate per table),
+    ``category_counts``, ``orphans``, ``business_checks`` and ``gate``. Then the
+    gate is read back (one row per failing table) and, when ``fail_on_gate``,
+    a batch with count mismatches, NULL keys or duplicate keys is refused.
+    """
+    tables = sorted(raw)
+    cats = [category_counts(t, raw[t], batch_id) for t in tables]
+    parts = {
+        "table_profile": _union([table_profile(t, raw[t], sources[t], batch_id) for t in tables]),
+        "category_counts": _union([c for c in cats if c is not None]),
+        "orphans": orphans(raw, batch_id),
+        "business_checks": _union([
+            user_mismatches(raw["order_items"], raw["orders"], batch_id)
+            .select(F.lit("order_item_user_mismatches").alias("check_name"),
+                    F.col("order_item_user_mismatches").alias("failures")),
+            item_count_mismatches(raw["order_items"], raw["orders"], batch_id)
+            .select(F.lit("order_item_count_mismatches").alias("check_name"),
+                    F.col("order_item_count_mismatches").alias("failures"))]),
+        "gate": gate(table_summary(raw, sources, batch_id)),
+    }
+    paths = {}
+    for name, df in parts.items():
+        paths[name] = f"{out_root}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+    failing = [r["table_name"] for r in raw[tables[0]].sparkSession.read.parquet(paths["gate"])
+               .select("table_name").collect()]
+    if fail_on_gate and failing:
+        raise RuntimeError(f"count or primary-key validation failed: {sorted(failing)}")
+    return paths

@@ -28,3 +28,22 @@ def test_register_views_for_sql(spark):
     assert "t_mart_daily_sales" in names
     n = spark.sql("SELECT count(*) FROM t_fct_order_items f JOIN t_dim_products p USING (product_id)").first()[0]
     assert n == b.fct_order_items.count()
+
+
+def test_run_profile_writes_tables_and_gates(spark):
+    import pytest
+
+    from martlet.config import TABLES
+    from martlet.operators.profile import run_profile
+    from martlet.sources.driver_tables import extract
+
+    clean = raw_tables(spark, SMALL)
+    sources = {t: extract(spark, SMALL, t) for t in TABLES}
+    root = tempfile.mkdtemp(prefix="martlet-profile-")
+    paths = run_profile(clean, sources, SELECTED_BATCH, f"{root}/clean")
+    assert spark.read.parquet(paths["gate"]).count() == 0
+    assert spark.read.parquet(paths["orphans"]).count() == 9
+    faulty = raw_tables(spark, SMALL, faulty=True)
+    faulty_sources = {t: extract(spark, SMALL, t, faulty=True) for t in TABLES}
+    with pytest.raises(RuntimeError, match="orders"):
+        run_profile(faulty, faulty_sources, SELECTED_BATCH, f"{root}/faulty")
