@@ -3,10 +3,9 @@
 Per table one generated aggregate computes, in a single scan: the row count,
 the distinct and null key counts, the null count of every column, min/max of
 every timestamp/date column and the count of business timestamps later than
-``_EXTRACTED_AT``. Nine anti joins count orphans, two joins check business
-consistency, and a gate lists the tables that fail.
-
-Orphan counts reuse the fused relationship check: one scan per child table.
+``_EXTRACTED_AT``. Orphans over the nine referential edges reuse the fused
+relationship check (one scan and one anti join per child table), two joins
+check business consistency, and a gate lists the tables that fail.
 """
 
 from __future__ import annotations
