@@ -232,7 +232,13 @@ register("profile_keys")(_per_table(profile.key_profile))
 register("profile_null_counts")(_per_table(profile.null_counts))
 register("profile_date_ranges")(_per_table(profile.date_ranges))
 register("profile_future_timestamps")(_per_table(profile.future_timestamps))
-register("profile_category_counts")(_per_table(profile.category_counts))
+_category_counts = _per_table(profile.category_counts)
+
+
+@register("profile_category_counts")
+def q_profile_category_counts(spark, sf_dir):
+    """Category frequencies, most frequent first within each column (a small sorted result)."""
+    return _category_counts(spark, sf_dir).orderBy("table_name", "column_name", F.desc("row_count"), "value")
 
 
 @register("profile_orphans")
