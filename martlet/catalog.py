@@ -20,7 +20,7 @@ from martlet.config import TABLES
 from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id
 from martlet.operators import checks, export, profile, reconcile
 from martlet.plans import marts
-from martlet.plans.pipeline import Build, build, materialize
+from martlet.plans.batch_build import Build, build, materialize
 from martlet.plans.staging import select_batch, stg_events
 from martlet.session import configure, work_dir
 from martlet.sources import faults, landing
@@ -92,7 +92,7 @@ def built_tables(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Buil
         return _BUILDS[key]
 
 
-# --- pipeline ---------------------------------------------------------------
+# --- models ----------------------------------------------------------------
 
 @register("mart_daily_sales")
 def q_mart_daily_sales(spark, sf_dir):

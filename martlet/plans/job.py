@@ -29,7 +29,7 @@ from martlet.config import DECLARED_TESTS, TABLES
 from martlet.functions.batch_ids import require_batch_id
 from martlet.operators import checks, reconcile
 from martlet.plans import marts
-from martlet.plans.pipeline import Build, build, materialize
+from martlet.plans.batch_build import Build, build, materialize
 from martlet.sources.landing import read_raw
 
 

@@ -1,7 +1,7 @@
 import tempfile
 
 from martlet.plans.job import build_batch, register_views
-from martlet.plans.pipeline import build
+from martlet.plans.batch_build import build
 from martlet.sources.driver_tables import SECOND_BATCH, SELECTED_BATCH, raw_tables
 from martlet.sources.raw_store import land_raw
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martlet.operators import reconcile
 from martlet.plans import marts
-from martlet.plans.pipeline import build
+from martlet.plans.batch_build import build
 from martlet.sources.landing import stamp_batch
 
 B = "20260101T000000Z"

@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from martlet.plans.pipeline import build
+from martlet.plans.batch_build import build
 from martlet.sources.driver_tables import ITEM_ORDER, item_lines
 from martlet.sources.landing import stamp_batch
 
