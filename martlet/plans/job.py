@@ -30,7 +30,7 @@ from martlet.functions.batch_ids import require_batch_id
 from martlet.operators import checks, reconcile
 from martlet.plans import marts
 from martlet.plans.batch_build import Build, build, materialize
-from martlet.sources.landing import read_raw
+from martlet.sources.landing import assert_loadable, batch_manifest, complete_batches, read_raw
 
 
 def register_views(b: Build, prefix: str = "") -> list[str]:
@@ -84,7 +84,15 @@ def build_and_check(spark: SparkSession, raw: dict[str, DataFrame], out_root: st
 
 
 def build_batch(spark: SparkSession, raw_root: str, out_root: str, batch_id: str,
-                tables: tuple[str, ...] = TABLES, workers: int = 4) -> dict[str, int]:
-    """Build and check one batch read from a ``_BATCH_ID``-partitioned RAW store."""
+                tables: tuple[str, ...] = TABLES, workers: int = 4,
+                require_complete: bool = False) -> dict[str, int]:
+    """Build and check one batch read from a ``_BATCH_ID``-partitioned RAW store.
+
+    With ``require_complete`` the batch must first be complete in the RAW
+    manifest (every expected table landed, none empty): tables are committed
+    one by one, so a batch is only selectable once all of them are in.
+    """
     raw = {t: read_raw(spark, raw_root, t) for t in tables}
+    if require_complete:
+        assert_loadable(complete_batches(batch_manifest(raw), tables), batch_id)
     return build_and_check(spark, raw, out_root, batch_id, workers=workers)

@@ -17,9 +17,13 @@ def test_build_batch_from_partitioned_raw(spark):
                       "batch_row_count_matches": 0, "singular": 0}
     mart = spark.read.parquet(f"{root}/marts/mart_daily_sales")
     assert mart.count() > 0 and mart.select("source_batch_id").distinct().count() == 1
-    # The second batch is incomplete (no events): its row-count check fails.
+    # The second batch is incomplete (no events): its row-count check fails ...
     totals2 = build_batch(spark, f"{root}/raw", f"{root}/marts2", SECOND_BATCH)
     assert totals2["batch_row_count_matches"] == 1
+    # ... and with the completeness gate it is refused before anything is built.
+    import pytest
+    with pytest.raises(ValueError, match="incomplete"):
+        build_batch(spark, f"{root}/raw", f"{root}/marts3", SECOND_BATCH, require_complete=True)
 
 
 def test_register_views_for_sql(spark):
