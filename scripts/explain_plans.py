@@ -31,6 +31,23 @@ JOIN = re.compile(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastN
                   r"\b.*?\b(Inner|LeftOuter|RightOuter|FullOuter|LeftAnti|LeftSemi|Cross)\b")
 
 
+GUIDE = """How to read them:
+
+- `stg_*`: no shuffle. One Parquet scan with `PartitionFilters: [_BATCH_ID = ...]` and only the staged columns.
+- `fct_order_items`: two sort-merge left joins keyed `(id, batch)`, so 4 exchanges: items by order id,
+  orders, the joined items by inventory id, and inventory. The orders side reads 2 columns and the inventory
+  side 2.
+- `mart_daily_sales`: the fact's 4 exchanges plus the two-level distinct aggregate. `Expand` feeds a partial
+  aggregate keyed by (day, batch, distinct key), then partial counts are shuffled by (day, batch), so a hot
+  day never sits in one task.
+- `check_*`: per model one scan. Aggregates are partial first; relationships anti-join pre-aggregated
+  `(column, value, n)` child rows against the tagged union of parent keys.
+- `recon_fact`: the full outer join as a left join plus an anti join on the fact's distinct keys, then two
+  left joins. Every join is one AQE can split when a key is hot.
+- "Single-partition merges" only combine one partial aggregate row per task (global counts).
+"""
+
+
 def tree(df) -> str:
     text = df._jdf.queryExecution().executedPlan().treeString()
     return "\n".join(re.sub(r"#\d+L?", "", line)[:150] for line in text.splitlines() if line.strip())
@@ -44,6 +61,7 @@ def main() -> None:
     print("# Physical plan shapes (broadcast disabled, i.e. every join planned for large inputs)\n")
     print(f"Generated by `scripts/explain_plans.py` on `{os.path.basename(sf_dir)}`; the shapes do not depend on "
           "the scale factor.\n")
+    print(GUIDE)
     for name in QUERIES:
         df = REGISTRY[name](spark, sf_dir)
         plan = tree(df)
