@@ -62,3 +62,17 @@ def test_fingerprint_is_order_and_partition_insensitive(spark):
     assert one == two and one["row_count"] == 50
     changed = table_fingerprint(df.withColumn("b", F.when(F.col("a") == 3, "x").otherwise(F.col("b")))).first()
     assert changed["fingerprint"] != one["fingerprint"]
+
+
+def test_staging_refuses_a_non_utc_session(spark):
+    from martlet.plans.staging import select_batch
+    from martlet.session import configure
+    raw = spark.createDataFrame([("20260101T000000Z",)], "_BATCH_ID string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(RuntimeError, match="UTC"):
+            select_batch(raw, "20260101T000000Z")
+    finally:
+        configure(spark)                       # re-pins UTC (and the other settings)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert select_batch(raw, "20260101T000000Z").count() == 1
