@@ -24,16 +24,18 @@ def stamp_batch(df: DataFrame, batch_id: str, extracted_at: datetime | str | Col
     """Upper-case every column name and append ``_BATCH_ID`` / ``_EXTRACTED_AT``.
 
     ``extracted_at`` is a tz-aware instant (or ``'yyyy-MM-dd HH:mm:ss'`` UTC text);
-    it becomes a TIMESTAMP (instant) constant on every row.
+    it becomes a TIMESTAMP (instant) constant on every row, built from epoch
+    microseconds so it does not depend on the session time zone.
     """
     require_batch_id(batch_id)
+    if isinstance(extracted_at, str):
+        extracted_at = datetime.fromisoformat(extracted_at).replace(tzinfo=timezone.utc)
     if isinstance(extracted_at, datetime):
         if extracted_at.tzinfo is None:
             raise ValueError("extracted_at must be timezone-aware")
-        ts = F.lit(extracted_at.astimezone(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz") \
-            .cast("timestamp")
-    elif isinstance(extracted_at, str):
-        ts = F.to_timestamp(F.lit(extracted_at))
+        delta = extracted_at - datetime(1970, 1, 1, tzinfo=timezone.utc)
+        micros = (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
+        ts = F.timestamp_micros(F.lit(micros))
     else:
         ts = extracted_at
     upper = df.toDF(*[c.upper() for c in df.columns])

@@ -1,6 +1,6 @@
 import os
 import tempfile
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -90,3 +90,16 @@ def test_append_new_batches_is_idempotent_and_aligns_by_name(spark):
     got = spark.read.parquet(f"{root}/t")
     assert sorted(got.columns) == ["ID", "STATUS", "_BATCH_ID", "_EXTRACTED_AT"]
     assert sorted((r.ID, r.STATUS) for r in got.collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_stamped_instant_ignores_the_session_time_zone(spark):
+    from martlet.session import configure
+    df = spark.createDataFrame([(1,)], "id long")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        a = landing.stamp_batch(df, "20260101T000000Z", "2001-06-01 00:00:00")
+        b = landing.stamp_batch(df, "20260101T000000Z", datetime(2001, 6, 1, 9, tzinfo=timezone(timedelta(hours=9))))
+        got = [r[0] for r in a.unionByName(b).selectExpr("unix_micros(_EXTRACTED_AT)").collect()]
+    finally:
+        configure(spark)
+    assert got == [991353600000000, 991353600000000]       # 2001-06-01T00:00:00Z
