@@ -93,3 +93,14 @@ def test_fact_reconciliation_margin_uses_plain_inequality(spark):
 def test_kpis_recount_buyers(spark):
     k = marts.sales_kpis(build(_raw(spark), B).fct_order_items).first()
     assert (k.item_count, k.order_count, k.buyer_count) == (4, 3, 2)
+
+
+def test_dimension_coverage_uses_set_semantics(spark):
+    users = spark.createDataFrame([(1,), (None,), (2,)], "customer_id long")
+    products = spark.createDataFrame([(7,)], "product_id long")
+    same = reconcile.dimension_coverage(users, users, products, products)
+    assert same.count() == 0                                   # NULL key on both sides is covered
+    missing_null = reconcile.dimension_coverage(users, users.filter("customer_id IS NOT NULL"), products, products)
+    assert [r.entity for r in missing_null.collect()] == ["customers"]
+    duplicated = reconcile.dimension_coverage(users, users, products, products.union(products))
+    assert [r.entity for r in duplicated.collect()] == ["products"]   # counts differ, keys covered
