@@ -20,8 +20,6 @@ recomputes at most one step's tasks.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +28,7 @@ from martlet.functions.batch_ids import require_batch_id
 from martlet.operators import checks, reconcile
 from martlet.plans import marts
 from martlet.plans.batch_build import Build, build, materialize
+from martlet.session import run_concurrently
 from martlet.sources.landing import assert_loadable, batch_manifest, complete_batches, read_raw
 
 
@@ -42,13 +41,6 @@ def register_views(b: Build, prefix: str = "") -> list[str]:
     return names
 
 
-def run_concurrently(actions: dict, workers: int = 4) -> dict:
-    """Run independent Spark actions from ``workers`` driver threads; results by name."""
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {name: pool.submit(fn) for name, fn in actions.items()}
-        return {name: f.result() for name, f in futures.items()}
-
-
 def build_and_check(spark: SparkSession, raw: dict[str, DataFrame], out_root: str, batch_id: str,
                     declared: dict = DECLARED_TESTS, workers: int = 4) -> dict[str, int]:
     """Build the four tables for one batch, check them; failures per check family."""

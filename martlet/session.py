@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +72,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the checkpoint root for one run of one job."""
     return f"{checkpoint_root(spark)}/martlet/{purpose}/{uuid.uuid4().hex}"
+
+
+def run_concurrently(actions: dict, workers: int = 4) -> dict:
+    """Run independent Spark actions from ``workers`` driver threads; results by name.
+
+    Spark schedules the concurrent jobs on the same executors (use a FAIR pool
+    on a shared cluster); each action is an ordinary job with its own retries.
+    """
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in actions.items()}
+        return {name: f.result() for name, f in futures.items()}

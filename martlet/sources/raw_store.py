@@ -12,16 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 from martlet.config import BATCH_COL
+from martlet.session import run_concurrently
 from martlet.sources.landing import append_raw
 
 
-def land_raw(spark: SparkSession, raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Append every RAW DataFrame under ``root/<table>`` and return readers."""
-    out = {}
-    for table, df in sorted(raw.items()):
-        append_raw(df, root, table)
-        out[table] = read_raw_like(spark, f"{root}/{table}", df.schema)
-    return out
+def land_raw(spark: SparkSession, raw: dict[str, DataFrame], root: str, workers: int = 4) -> dict[str, DataFrame]:
+    """Append every RAW DataFrame under ``root/<table>`` (independent writes run
+    concurrently) and return readers."""
+    run_concurrently({t: (lambda t=t, df=df: append_raw(df, root, t)) for t, df in raw.items()}, workers)
+    return {t: read_raw_like(spark, f"{root}/{t}", df.schema) for t, df in sorted(raw.items())}
 
 
 def read_raw_like(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
