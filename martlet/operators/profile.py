@@ -181,8 +181,9 @@ def table_profile(table: str, raw: DataFrame, source: DataFrame, batch_id: str)
 
     ``(table_name, column_name, metric, value)`` with metrics ``source_rows``,
     ``raw_rows``, ``distinct_keys``, ``null_keys``, ``duplicate_key_rows``,
-    ``row_count_match`` (table level), ``null_count`` (every column), ``min``/``max``
-    (temporal columns, UTC) and ``rows_after_extract`` (business timestamps).
+    ``row_count_match`` (table level), ``data_type`` and ``null_count`` (every
+    column), ``min``/``max`` (temporal columns, UTC) and ``rows_after_extract``
+    (business timestamps).
     Values are text so that one column holds every metric.
     """
     key = _col_for(raw, RAW_KEYS[table])
@@ -213,6 +214,8 @@ def table_profile(table: str, raw: DataFrame, source: DataFrame, batch_id: str)
                    ("row_count_match", F.col("source_rows") == F.col("raw_rows"))]
     entries = [F.struct(F.lit(None).cast("string").alias("column_name"), F.lit(m).alias("metric"),
                         v.cast("string").alias("value")) for m, v in table_level]
+    entries += [F.struct(F.lit(column).alias("column_name"), F.lit("data_type").alias("metric"),
+                         F.lit(dtype).alias("value")) for _t, column, dtype in schema_listing(table, raw)]
     for c in wide.columns[3:]:
         metric, column = c.split("|", 1)
         entries.append(F.struct(F.lit(column).alias("column_name"), F.lit(metric).alias("metric"),
