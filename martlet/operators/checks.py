@@ -207,18 +207,17 @@ def batch_row_count_suite(models: dict[str, DataFrame], raw: dict[str, DataFrame
             .select("model", "source_table", F.lit(batch_id).alias("batch_id"), "raw_rows", "staged_rows"))
 
 
-def check_summary(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch_id: str,
-                  declared: dict = DECLARED_TESTS) -> DataFrame:
-    """One row per declared test: ``(test_name, model, column_name, failures)``.
+def check_summary_parts(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch_id: str,
+                        declared: dict = DECLARED_TESTS) -> dict[str, DataFrame]:
+    """Per check family, one row per declared test: ``(test_name, model, column_name, failures)``.
 
-    ``failures`` counts what the test would return: null rows, duplicated
-    values, orphan child rows, unexpected values, or 1 for a failed row-count
-    reconciliation.
+    The families are independent jobs; ``check_summary`` is their union and
+    ``plans.job`` submits them concurrently.
     """
-    parts = []
+    parts = {}
     if any(True for _ in _declared("not_null", models, declared)):
-        parts.append(not_null_suite(models, declared)
-                     .select(F.lit("not_null").alias("test_name"), "model", "column_name", "failures"))
+        parts["not_null"] = (not_null_suite(models, declared)
+                             .select(F.lit("not_null").alias("test_name"), "model", "column_name", "failures"))
     # Fused detail rows per model, then failures per declared test. Tests with no
     # violation have no detail row, so the declared list is the left side.
     for kind, detail, failures in (
@@ -231,13 +230,24 @@ def check_summary(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch
         per_test = (detail(models, declared).groupBy("model", "column_name")
                     .agg(failures.cast("bigint").alias("failures")))
         listed = models[tests[0][0]].sparkSession.createDataFrame(tests, "model string, column_name string")
-        parts.append(listed.join(per_test, ["model", "column_name"], "left")
-                     .select(F.lit(kind).alias("test_name"), "model", "column_name",
-                             F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
+        parts[kind] = (listed.join(per_test, ["model", "column_name"], "left")
+                       .select(F.lit(kind).alias("test_name"), "model", "column_name",
+                               F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
     pairs = [(m, models[m], src, raw[src]) for m, src in _declared("row_count_source", models, declared)]
     if pairs:
-        parts.append(row_counts(pairs, batch_id).select(
+        parts["batch_row_count_matches"] = row_counts(pairs, batch_id).select(
             F.lit("batch_row_count_matches").alias("test_name"), "model",
             F.lit(None).cast("string").alias("column_name"),
-            F.when(_row_count_failed(), 1).otherwise(0).cast("bigint").alias("failures")))
-    return union_all(parts)
+            F.when(_row_count_failed(), 1).otherwise(0).cast("bigint").alias("failures"))
+    return parts
+
+
+def check_summary(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch_id: str,
+                  declared: dict = DECLARED_TESTS) -> DataFrame:
+    """One row per declared test: ``(test_name, model, column_name, failures)``.
+
+    ``failures`` counts what the test would return: null rows, duplicated
+    values, orphan child rows, unexpected values, or 1 for a failed row-count
+    reconciliation.
+    """
+    return union_all(list(check_summary_parts(models, raw, batch_id, declared).values()))
