@@ -27,7 +27,7 @@ def _canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9))
+        return repr(v)                      # exact: both engines compute IEEE doubles
     if isinstance(v, decimal.Decimal):
         return str(v.normalize()) if v == v.to_integral_value() else str(v.normalize())
     if isinstance(v, dt.datetime):
