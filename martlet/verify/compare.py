@@ -29,7 +29,7 @@ def _canon(v):
             return "nan"
         return repr(v)                      # exact: both engines compute IEEE doubles
     if isinstance(v, decimal.Decimal):
-        return str(v.normalize()) if v == v.to_integral_value() else str(v.normalize())
+        return str(v)                       # exact, scale included (types are checked to match)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (dt.date, str, bool, int)):
