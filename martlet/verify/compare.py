@@ -15,7 +15,8 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 def duckdb_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute(f"SET TimeZone = '{os.environ.get("ORACLE_TZ", "UTC")}'")
+    tz = os.environ.get("ORACLE_TZ", "UTC")
+    con.execute(f"SET TimeZone = '{tz}'")
     for t in DRIVER_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
