@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is executed in full with the ``noop`` sink (no driver collect) and
-timed as the best of two runs (steady state). ``staging_build`` and
+timed as the best of three runs (steady state). ``staging_build`` and
 ``sales_build`` reproduce the shape of the reference's two published build
 timings: 7 staging views + 58 tests, and 4 written tables + 34 tests. JVM start-up and one warm-up pass are excluded. Deriving the RAW fixture from
 the driver tables and landing it (the reference's extract/load step, which its
@@ -104,11 +104,11 @@ def main() -> None:
     setup["write_fact_tables"] = round(time.perf_counter() - t, 3)
     run_noop(REGISTRY["mart_daily_sales"](spark, sf_dir))  # warm-up: JIT, file listing caches
     for name in HEADLINE:
-        times[name] = best_of(2, lambda: run_noop(REGISTRY[name](spark, sf_dir)))
+        times[name] = best_of(3, lambda: run_noop(REGISTRY[name](spark, sf_dir)))
     for name, fn in single_tests(spark, sf_dir).items():
-        times[name] = best_of(2, fn)
-    times["staging_build"] = best_of(2, lambda: staging_build(spark, sf_dir))
-    times["sales_build"] = best_of(2, lambda: sales_build(spark, sf_dir))
+        times[name] = best_of(3, fn)
+    times["staging_build"] = best_of(3, lambda: staging_build(spark, sf_dir))
+    times["sales_build"] = best_of(3, lambda: sales_build(spark, sf_dir))
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "setup": setup, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
