@@ -64,6 +64,7 @@ def build_and_check(spark: SparkSession, raw: dict[str, DataFrame], out_root: st
             reconcile.daily_expected(s["stg_order_items"], s["stg_orders"], s["stg_inventory_items"]),
             out["mart_daily_sales"]),
     }
+    # Only per-test summaries reach the driver: one row per declared test, one count per reconciliation.
     generic = checks.check_summary_parts(models, raw, batch_id, declared)
     actions = {f"generic:{kind}": (lambda df=df: [tuple(r) for r in df.collect()]) for kind, df in generic.items()}
     actions.update({name: (lambda f=fn: f().count()) for name, fn in singular.items()})

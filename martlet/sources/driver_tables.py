@@ -97,6 +97,8 @@ def _rank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                .checkpoint(eager=True))
     part = F.shiftright("_mid", _POS_BITS)
     sizes = located.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # A running sum over ``sizes``: one row per partition, so this single-partition
+    # window (and the broadcast below) is bounded by the partition count.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (located.withColumn("_part", part).join(F.broadcast(offsets), "_part")
