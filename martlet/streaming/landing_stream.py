@@ -79,13 +79,20 @@ def run_landing(spark: SparkSession, landing_root: str, raw_root: str, schemas:
     query progress (``numInputRows``), rows written from the observed appends.
     """
     written = {t: [] for t in schemas}
-    queries = {t: start_landing_stream(spark, landing_root, raw_root, t, s, f"{checkpoint_root}/{t}", written[t])
-               for t, s in schemas.items()}
-    out = {}
-    for t, q in queries.items():
-        q.awaitTermination()
-        out[t] = (int(sum(p["numInputRows"] for p in q.recentProgress)), sum(written[t]))
-    return out
+    queries = {}
+    try:
+        for t, s in schemas.items():
+            queries[t] = start_landing_stream(spark, landing_root, raw_root, t, s, f"{checkpoint_root}/{t}",
+                                              written[t])
+        out = {}
+        for t, q in queries.items():
+            q.awaitTermination()
+            out[t] = (int(sum(p["numInputRows"] for p in q.recentProgress)), sum(written[t]))
+        return out
+    finally:  # a failed table must not leave the other streams running
+        for q in queries.values():
+            if q.isActive:
+                q.stop()
 
 
 def raw_batch_counts(spark: SparkSession, raw_root: str, tables) -> DataFrame:
