@@ -28,3 +28,16 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "order_date" in df.columns
+
+
+def test_entry_schema_is_stable(spark):
+    first, second = entry.entry(spark), entry.entry(spark)
+    assert first.schema == second.schema and first.count() == second.count()
+    assert first.columns[:2] == ["order_date", "source_batch_id"]
+    assert dict(first.dtypes)["ordered_item_amount"] == "decimal(28,4)"
+
+
+def test_every_query_takes_spark_and_sf_dir():
+    import inspect
+    for name, fn in entry.queries().items():
+        assert len(inspect.signature(fn).parameters) == 2, name
