@@ -50,7 +50,7 @@ GUIDE = """How to read them:
 
 def tree(df) -> str:
     text = df._jdf.queryExecution().executedPlan().treeString()
-    return "\n".join(re.sub(r"#\d+L?", "", line)[:150] for line in text.splitlines() if line.strip())
+    return "\n".join(re.sub(r"#\d+L?|, \[plan_id=\d+\]", "", line)[:150] for line in text.splitlines() if line.strip())
 
 
 def main() -> None:
