@@ -103,3 +103,11 @@ def test_stamped_instant_ignores_the_session_time_zone(spark):
     finally:
         configure(spark)
     assert got == [991353600000000, 991353600000000]       # 2001-06-01T00:00:00Z
+
+
+def test_latest_batch_ignores_malformed_ids_that_sort_higher(spark):
+    m = spark.createDataFrame(
+        [("orders", "20260101T000000Z", 5), ("orders", "20261231T000000Z\n", 5), ("orders", "20261231T000000Zx", 1),
+         ("orders", "20260301T120000Z", 2)],
+        "table_name string, batch_id string, row_count long")
+    assert landing.latest_batch(m).first().batch_id == "20260301T120000Z"
