@@ -29,3 +29,15 @@ def test_daily_reconciliation_matches_brute_force(spark, expected, actual):
         elif d not in expected or d not in actual or expected[d] != actual[d]:
             want.append(str(d))
     assert got == sorted(want)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(declared=st.dictionaries(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 3)), max_size=7),
+       items=st.lists(st.integers(0, 8), max_size=15))
+def test_order_quantities_matches_brute_force(spark, declared, items):
+    from martlet.operators.reconcile import order_quantities
+    orders = spark.createDataFrame(list(declared.items()), "order_id long, order_item_count long")
+    fact = spark.createDataFrame([(o,) for o in items], "order_id long")
+    got = sorted(r.order_id for r in order_quantities(orders, fact).collect())
+    want = sorted(o for o, n in declared.items() if n is None or n != items.count(o))
+    assert got == want
