@@ -9,7 +9,7 @@ from martlet.operators import checks
 
 small_int = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
 rows = st.lists(st.tuples(small_int, small_int, st.sampled_from(["a", "b", "c", None])), min_size=0, max_size=25)
-parents = st.lists(st.integers(min_value=0, max_value=6), min_size=0, max_size=8)
+parents = st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=6)), min_size=0, max_size=8)
 SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
