@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import decontaminate, packing, warc
+from martlet.llm import decontaminate, lines, packing, simhash, warc
 from martlet.llm.common import table
 from martlet.llm.oracle import ORACLE  # noqa: F401  (the entry module reads it here)
 
@@ -18,8 +18,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
+
+
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"), max_bits=2, similarity=0.8)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op7_simhash, op8_lines, op10_decontaminate)}
