@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martlet.llm import decontaminate, lines, packing, simhash, warc
+from martlet.llm import decontaminate, langid, lines, packing, simhash, subword_lm, warc
 from martlet.llm.common import table
 from martlet.llm.oracle import ORACLE  # noqa: F401  (the entry module reads it here)
 
@@ -18,6 +19,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = subword_lm.held_out(F.col("doc_id"), 7, 2)
+    return subword_lm.score_documents(table(spark, sf_dir, "documents"), held)
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = subword_lm.held_out(F.col("doc_id"), 4, 2)
+    return langid.identify(table(spark, sf_dir, "documents"), held)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
 
@@ -30,4 +41,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op7_simhash, op8_lines, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op5_subword_lm, op6_langid, op7_simhash, op8_lines, op10_decontaminate)}
