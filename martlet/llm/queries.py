@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import decontaminate, langid, lines, packing, simhash, subword_lm, warc
+from martlet.llm import decontaminate, langid, lines, packing, simhash, subword_lm, toxicity, warc
 from martlet.llm.common import table
 from martlet.llm.oracle import ORACLE  # noqa: F401  (the entry module reads it here)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -41,4 +46,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op5_subword_lm, op6_langid, op7_simhash, op8_lines, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_warc, op5_subword_lm, op6_langid, op7_simhash, op8_lines, op10_decontaminate)}
