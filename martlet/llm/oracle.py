@@ -27,11 +27,11 @@ win AS (
   SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS k
   FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM sized)),
 doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS10} AS w FROM documents),
-at AS (
+spot AS (
   SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS k
   FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s
         FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
-hit AS (SELECT at.r, at.s, at.n, win.item_id FROM at JOIN win USING (n, k)),
+hit AS (SELECT spot.r, spot.s, spot.n, win.item_id FROM spot JOIN win USING (n, k)),
 pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
 own AS (
   SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
@@ -41,4 +41,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN pos USING (r) LEFT JOIN own USING (r)
 """
 
-ORACLE = {"op3_warc": _OP3, "op10_decontaminate": _OP10}
+_OP9 = """
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+spot AS (SELECT r, s, md5(substr(h, 2 * s + 1, 400)) AS k
+       FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 199)) AS s FROM doc WHERE len(h) >= 400)),
+hit AS (SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY k) AS n FROM spot) WHERE n > 1),
+step AS (SELECT r, s, CASE WHEN s - lag(s) OVER (PARTITION BY r ORDER BY s) <= 200 THEN 0 ELSE 1 END AS fresh FROM hit),
+span AS (SELECT r, g, min(s) AS a, max(s) + 200 AS b
+         FROM (SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS g FROM step) GROUP BY r, g),
+kept AS (SELECT r, a, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) + 1,
+                             2 * (a - coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0))) AS piece
+         FROM span JOIN doc USING (r)),
+cut AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last FROM span GROUP BY r),
+text AS (SELECT r, string_agg(piece, '' ORDER BY a) AS body FROM kept GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN last IS NULL THEN h ELSE body || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM doc LEFT JOIN cut USING (r) LEFT JOIN text USING (r)
+"""
+
+ORACLE = {"op3_warc": _OP3, "op9_substrings": _OP9, "op10_decontaminate": _OP10}

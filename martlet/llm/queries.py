@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import decontaminate, langid, lines, packing, simhash, subword_lm, toxicity, warc
+from martlet.llm import decontaminate, fracsketch, langid, lines, packing, simhash, substrings, subword_lm, toxicity, warc
 from martlet.llm.common import table
 from martlet.llm.oracle import ORACLE  # noqa: F401  (the entry module reads it here)
 
@@ -24,6 +24,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_fracsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fracsketch.compare_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = subword_lm.held_out(F.col("doc_id"), 7, 2)
     return subword_lm.score_documents(table(spark, sf_dir, "documents"), held)
@@ -42,8 +46,12 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"), max_bits=2, similarity=0.8)
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_report(table(spark, sf_dir, "documents"), length=200)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_warc, op5_subword_lm, op6_langid, op7_simhash, op8_lines, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_warc, op4_fracsketch, op5_subword_lm, op6_langid, op7_simhash, op8_lines, op9_substrings, op10_decontaminate)}
