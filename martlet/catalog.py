@@ -26,7 +26,7 @@ from martlet.session import configure, work_dir
 from martlet.sources import faults, landing
 from martlet.sources.driver_tables import (EXTRACTED_AT, SECOND_BATCH, SELECTED_BATCH, SOURCE_KEYS, SOURCE_TABLE,
                                            extract, raw_tables)
-from martlet.sources.raw_store import land_raw
+from martlet.sources.raw_store import land_raw, read_raw_like
 from martlet.streaming import landing_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -361,7 +361,7 @@ def _exported(spark, sf_dir):
     configure(spark)
     work = work_dir(spark, "export")
     mart = built_tables(spark, sf_dir).mart_daily_sales        # the written mart table
-    return mart, export.export_mart(mart, f"{work}/portfolio")
+    return mart, export.export_and_record(spark, mart, f"{work}/portfolio")
 
 
 @register("export_daily_mart")
@@ -429,3 +429,22 @@ def q_land_batch_append(spark, sf_dir):
                 continue
             landing.append_new_batches(spark, _stamped(spark, sf_dir, t, batch), raw_root, t)
     return landing_stream.raw_batch_counts(spark, raw_root, TABLES)
+
+
+@register("land_aligned_append")
+def q_land_aligned_append(spark, sf_dir):
+    """RAW contents after a second batch that arrives with lower-case names in reverse order, without ``GENDER`` and
+    with a column RAW does not know, once through the batch append and once through the stream."""
+    configure(spark)
+    work = work_dir(spark, "aligned-landing")
+    first, second = (_stamped(spark, sf_dir, "orders", b) for b in (SELECTED_BATCH, SECOND_BATCH))
+    drifted = second.drop("GENDER").withColumn("unknown_to_raw", F.lit("x"))
+    drifted = drifted.select(*[F.col(c).alias(c.lower()) for c in reversed(drifted.columns)])
+    landing.append_new_batches(spark, first, f"{work}/batch", "orders")
+    landing.append_new_batches(spark, drifted, f"{work}/batch", "orders")
+    landing_stream.land_files(first, f"{work}/landing", "orders", SELECTED_BATCH)
+    landing_stream.land_files(drifted, f"{work}/landing", "orders", SECOND_BATCH)
+    landing_stream.run_landing(spark, f"{work}/landing", f"{work}/stream", {"orders": first.schema}, f"{work}/checkpoints")
+    both = [utc_wall_clock(read_raw_like(spark, f"{work}/{path}/orders", first.schema)).select(F.lit(path).alias("load_path"), "*")
+            for path in ("batch", "stream")]
+    return both[0].unionByName(both[1])

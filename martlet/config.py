@@ -22,7 +22,15 @@ BATCH_ID_REGEX = r"[0-9]{8}T[0-9]{6}Z"          # must match the whole id
 BATCH_ID_FORMAT = "yyyyMMdd'T'HHmmss'Z'"        # UTC extract second
 
 # Source key per RAW table (orders uses ORDER_ID, all others ID).
-RAW_KEYS = {name: "ID" for name in TABLES} | {"orders": "ORDER_ID"}
+RAW_KEYS = {
+    "distribution_centers": "ID",
+    "events": "ID",
+    "inventory_items": "ID",
+    "order_items": "ID",
+    "orders": "ORDER_ID",
+    "products": "ID",
+    "users": "ID",
+}
 
 # RAW referential edges: (child, foreign key, parent, parent key).
 RAW_RELATIONSHIPS = (

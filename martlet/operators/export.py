@@ -16,9 +16,9 @@ def export_mart(mart: DataFrame, out_dir: str) -> dict:
     """
     g = mart.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source_batch_id").alias("batches")).first()
     if g["n"] == 0:
-        raise RuntimeError("daily mart is empty")
+        raise RuntimeError("nothing to export: the mart has no rows (empty)")
     if g["batches"] != 1:
-        raise RuntimeError(f"expected a single batch, found {g['batches']}")
+        raise RuntimeError(f"the mart must hold a single batch; it holds {g['batches']}")
     ordered = mart.orderBy("order_date")
     ordered.write.mode("errorifexists").option("compression", "snappy").parquet(f"{out_dir}/parquet")
     ordered.write.mode("errorifexists").json(f"{out_dir}/json")
@@ -52,8 +52,25 @@ def verify_export(spark: SparkSession, mart: DataFrame, paths: dict) -> DataFram
 
 
 def fingerprint_export(spark: SparkSession, mart: DataFrame, paths: dict) -> DataFrame:
-    """Order-insensitive SHA-256 fingerprint of the table and of the Parquet copy."""
+    """Order-insensitive SHA-256 fingerprint of the table and of both exported copies."""
     cols = mart.columns
-    return (table_fingerprint(mart, cols).select(F.lit("table").alias("copy"), "*")
-            .unionByName(table_fingerprint(spark.read.parquet(paths["parquet"]).select(*cols), cols)
-                         .select(F.lit("parquet").alias("copy"), "*")))
+    copies = {"table": mart, "parquet": spark.read.parquet(paths["parquet"]),
+              "json": spark.read.schema(mart.schema).json(paths["json"])}
+    parts = [table_fingerprint(df.select(*cols), cols).select(F.lit(name).alias("copy"), "*") for name, df in copies.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def export_and_record(spark: SparkSession, mart: DataFrame, out_dir: str) -> dict:
+    """Export, verify totals and fingerprints of both copies, and write ``out_dir/record``.
+
+    A copy that differs from the table is an error, and no record is written for it.
+    """
+    paths = export_mart(mart, out_dir)
+    totals = verify_export(spark, mart, paths).first()
+    prints = {r["copy"]: (r["row_count"], r["fingerprint"]) for r in fingerprint_export(spark, mart, paths).collect()}
+    if not totals["matches_table"] or len(set(prints.values())) != 1:
+        raise RuntimeError(f"{out_dir}: the exported copies differ from the table: {totals.asDict()}, {prints}")
+    record = [(c, paths.get(c), int(n), str(f)) for c, (n, f) in sorted(prints.items())]
+    (spark.createDataFrame(record, "copy string, path string, row_count bigint, fingerprint string").coalesce(1)
+     .write.mode("errorifexists").json(f"{out_dir}/record"))
+    return paths | {"record": f"{out_dir}/record"}

@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from martlet.config import BATCH_COL, CATEGORY_COLUMNS, EXTRACTED_COL, RAW_KEYS, RAW_RELATIONSHIPS
+from martlet.config import BATCH_COL, CATEGORY_COLUMNS, EXTRACTED_COL, RAW_KEYS, RAW_RELATIONSHIPS, TABLES
+from martlet.functions.batch_ids import require_batch_id
 from martlet.operators.checks import relationships_fused
+from martlet.session import assert_utc
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -166,8 +168,8 @@ def table_summary(raw: dict[str, DataFrame], sources: dict[str, DataFrame], batc
 
 
 def gate(summary: DataFrame) -> DataFrame:
-    """Tables that fail the batch gate: counts differ, null keys or duplicate keys."""
-    failed = (~F.col("row_count_match")) | (F.col("null_keys") > 0) | (F.col("duplicate_key_rows") > 0)
+    """Tables that fail the batch gate: no rows, counts differ, null keys or duplicate keys."""
+    failed = (F.col("raw_rows") == 0) | (~F.col("row_count_match")) | (F.col("null_keys") > 0) | (F.col("duplicate_key_rows") > 0)
     return summary.filter(failed)
 
 
@@ -230,8 +232,14 @@ def run_profile(raw: dict[str, DataFrame], sources: dict[str, DataFrame], batch_
     Tables: ``table_profile`` (long form, one aggregate per table),
     ``category_counts``, ``orphans``, ``business_checks`` and ``gate``. Then the
     gate is read back (one row per failing table) and, when ``fail_on_gate``,
-    a batch with count mismatches, NULL keys or duplicate keys is refused.
+    a batch with an empty table, count mismatches, NULL keys or duplicate keys is refused.
+    A malformed batch id, missing or unknown tables, or a session that is not in UTC is refused first.
     """
+    require_batch_id(batch_id)
+    spark = next(iter(raw.values())).sparkSession
+    assert_utc(spark)
+    if set(raw) != set(TABLES) or set(sources) != set(TABLES):
+        raise ValueError(f"a profile needs exactly the tables {', '.join(TABLES)}")
     tables = sorted(raw)
     cats = [category_counts(t, raw[t], batch_id) for t in tables]
     parts = {
@@ -254,5 +262,5 @@ def run_profile(raw: dict[str, DataFrame], sources: dict[str, DataFrame], batch_
     failing = [r["table_name"] for r in raw[tables[0]].sparkSession.read.parquet(paths["gate"])
                .select("table_name").collect()]
     if fail_on_gate and failing:
-        raise RuntimeError(f"count or primary-key validation failed: {sorted(failing)}")
+        raise RuntimeError(f"batch {batch_id} is refused; empty, miscounted or badly keyed tables: {sorted(failing)}")
     return paths

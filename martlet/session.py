@@ -25,12 +25,20 @@ SQL_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "martlet", extra: dict | None = None) -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app)
+    """A session with the settings above.
+
+    ``master`` and ``shuffle_partitions`` are left to the deployment (``spark-submit``,
+    ``spark-defaults.conf``) unless they are given.
+    """
+    builder = (SparkSession.builder.appName(app)
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+               .config("spark.ui.showConsoleProgress", "false"))
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**SQL_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -52,14 +60,22 @@ def assert_utc(spark: SparkSession) -> None:
         raise RuntimeError(f"session time zone must be UTC, not {tz!r}")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (so a private folder is seen by all)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and must be shared storage.
-    Only when it is unset (local tests) is a private folder created.
+    On a cluster this is set by the deployment and must be shared storage;
+    without it this raises. Only a local session (tests) gets a private folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="martlet-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         try:

@@ -42,23 +42,73 @@ def stamp_batch(df: DataFrame, batch_id: str, extracted_at: datetime | str | Col
     return upper.select("*", F.lit(batch_id).alias(BATCH_COL), ts.alias(EXTRACTED_COL))
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path itself."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def is_marked(spark: SparkSession, folder: str) -> bool:
+    """Whether a delivered folder carries its completion marker."""
+    fs, target = _file_system(spark, f"{folder}/_SUCCESS")
+    return bool(fs.exists(target))
+
+
 def write_batch_table(df: DataFrame, path: str, expected_rows: int | None = None) -> int:
-    """Write one landed table as snappy Parquet and verify the row count.
+    """Write one landed table as snappy Parquet: complete and verified, or absent.
 
-    The count is observed during the write itself (no second scan). The
-    commit protocol makes the output complete-or-absent (``_SUCCESS``). A
-    table with 0 rows, or with a count different from the source's own
-    count, is a torn extract and fails.
+    The rows go to a staging folder beside ``path`` and are counted during that
+    write (no second scan). Only when the count is right is the folder renamed to
+    ``path``; 0 rows, or a count different from the source's own, removes
+    the staging folder and raises, so nothing readable is left and a retry works.
     """
-    obs = Observation(f"landed_{uuid.uuid4().hex}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("errorifexists").option("compression", "snappy").parquet(path)
-    written = int(obs.get["rows"])
-    if written == 0:
-        raise RuntimeError(f"{path}: source returned no rows")
-    if expected_rows is not None and written != expected_rows:
-        raise RuntimeError(f"{path}: wrote {written} rows but the source reports {expected_rows}")
-    return written
+    spark = df.sparkSession
+    fs, target = _file_system(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    _, staged = _file_system(spark, staging)
+    try:
+        obs = Observation(f"landed_{uuid.uuid4().hex}")
+        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        observed.write.mode("errorifexists").option("compression", "snappy").parquet(staging)
+        written = int(obs.get["rows"])
+        if written == 0:
+            raise RuntimeError(f"nothing landed at {path}: the extract is empty")
+        if expected_rows is not None and written != expected_rows:
+            raise RuntimeError(f"torn extract for {path}: {written} rows written of {expected_rows}")
+        if not fs.rename(staged, target):
+            raise RuntimeError(f"could not publish {path}")
+        return written
+    finally:
+        if fs.exists(staged):
+            fs.delete(staged, True)
+
+
+def deliver_batch(spark: SparkSession, extracts: dict[str, DataFrame], root: str, instant: datetime,
+                  expected_rows: dict[str, int] | None = None) -> str:
+    """Land one whole batch: one instant, one id, every table guarded, the batch marker last.
+
+    ``extracts`` are the unstamped source tables, all seven of them. Each is stamped and written
+    under ``root/<batch id>/<table>``; ``root/<batch id>/_MANIFEST`` (table, row count) is written only after all
+    of them. Returns the batch id.
+    """
+    if set(extracts) != set(TABLES):
+        raise ValueError(f"a batch has exactly the tables {', '.join(TABLES)}")
+    batch_id = instant.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+    folder = f"{root}/{batch_id}"
+    counts = [(t, write_batch_table(stamp_batch(extracts[t], batch_id, instant), f"{folder}/{t}",
+                                    None if expected_rows is None else expected_rows[t])) for t in TABLES]
+    spark.createDataFrame(counts, "table_name string, row_count bigint").coalesce(1).write.json(f"{folder}/_MANIFEST")
+    return batch_id
+
+
+def load_delivered(spark: SparkSession, root: str, batch_id: str, raw_root: str) -> dict[str, int]:
+    """Append a delivered batch to RAW; a batch without its marker is refused before anything is read."""
+    require_batch_id(batch_id)
+    if not is_marked(spark, f"{root}/{batch_id}/_MANIFEST"):
+        raise ValueError(f"batch {batch_id} has no completion marker")
+    return {t: append_new_batches(spark, spark.read.parquet(f"{root}/{batch_id}/{t}"), raw_root, t) for t in TABLES}
 
 
 def rowcount_guard(spark: SparkSession, extracts: dict[str, DataFrame], root: str,
@@ -152,46 +202,85 @@ def align_to_table(df: DataFrame, table_schema: StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def landed_batch_ids(spark: SparkSession, raw_path: str) -> list[str]:
-    """Batch ids already committed to a RAW table, from its partition directories.
+LEDGER_SCHEMA = "batch_id string, source string, files array<string>, row_count bigint"
 
-    One directory listing (one entry per batch), no data scan: a partition
-    directory appears only when a write job commits.
-    """
-    prefix = f"{BATCH_COL}="
-    try:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(raw_path)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    except Exception:  # no JVM gateway (e.g. a Spark Connect client): read the partition values
-        try:
-            rows = spark.read.parquet(raw_path).select(BATCH_COL).distinct().collect()
-        except Exception:  # the table does not exist yet
-            return []
-        return sorted(r[0] for r in rows)
-    if not fs.exists(path):
+
+def ledger_path(raw_path: str) -> str:
+    """Where a RAW table's ledger lives: beside the tables, hidden from their readers."""
+    root, table = raw_path.rstrip("/").rsplit("/", 1)
+    return f"{root}/_ledger/{table}"
+
+
+def ledger(spark: SparkSession, raw_path: str, batch_ids: list[str]) -> list:
+    """Ledger rows of the given batches: one per committed (batch, source), with the RAW files it added."""
+    path = ledger_path(raw_path)
+    fs, target = _file_system(spark, path)
+    if not batch_ids or not fs.exists(target):
         return []
-    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(path)
-                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+    return spark.read.schema(LEDGER_SCHEMA).json(path).filter(F.col("batch_id").isin(batch_ids)).collect()
 
 
-def append_new_batches(spark: SparkSession, df: DataFrame, raw_root: str, table: str) -> int:
-    """Idempotent batch append: the first load creates the table from the
-    arriving schema; later loads are aligned by name to that fixed schema,
-    batches already in RAW are skipped, and the rows appended are returned
-    (0 when everything was loaded before).
+def _raw_files(spark: SparkSession, raw_path: str, batch_id: str) -> list[str]:
+    fs, folder = _file_system(spark, f"{raw_path}/{BATCH_COL}={batch_id}")
+    if not fs.exists(folder):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(folder) if st.isFile())
+
+
+def append_sources(df: DataFrame, raw_path: str, sources: dict[str, list[str]]) -> int:
+    """Append rows to RAW exactly once and record it. ``sources``: per batch id, what its rows come from.
+
+    The ledger row, with the files the append added, is written after the append has committed. Files
+    of these batches that no ledger row knows are what an interrupted append left; they are removed
+    first, so a replay repairs the batch instead of skipping it. One writer per table.
+    Returns the rows appended.
     """
-    path = f"{raw_root}/{table}"
-    existing = landed_batch_ids(spark, path)
-    if existing:
-        table_schema = spark.read.parquet(path).schema
-        data_fields = StructType([f for f in table_schema.fields if f.name != BATCH_COL])
-        df = align_to_table(df, StructType(list(data_fields.fields) + [StructField(BATCH_COL, StringType())]))
-        df = df.filter(~F.col(BATCH_COL).isin(existing))
+    spark = df.sparkSession
+    known = ledger(spark, raw_path, sorted(sources))
+    for batch_id in sources:
+        committed = {f for r in known if r["batch_id"] == batch_id for f in r["files"]}
+        for name in _raw_files(spark, raw_path, batch_id):
+            if name not in committed:
+                fs, left = _file_system(spark, f"{raw_path}/{BATCH_COL}={batch_id}/{name}")
+                fs.delete(left, False)
+    if _has_rows(spark, raw_path):
+        table_schema = spark.read.parquet(raw_path).schema
+        fields = [f for f in table_schema.fields if f.name != BATCH_COL]
+        df = align_to_table(df, StructType([*fields, StructField(BATCH_COL, StringType())]))
+    before = {b: set(_raw_files(spark, raw_path, b)) for b in sources}
     obs = Observation(f"appended_{uuid.uuid4().hex}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(path)
-    return int(obs.get["rows"])
+    observed.write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(raw_path)
+    rows = int(obs.get["rows"])
+    entries = [(b, s, sorted(set(_raw_files(spark, raw_path, b)) - before[b]) if i == 0 else [], rows if i == 0 else 0)
+               for b, names in sorted(sources.items()) for i, s in enumerate(sorted(names))]
+    spark.createDataFrame(entries, LEDGER_SCHEMA).coalesce(1).write.mode("append").json(ledger_path(raw_path))
+    return rows
+
+
+def _has_rows(spark: SparkSession, raw_path: str) -> bool:
+    """Whether the RAW table has been created (some batch partition holds a file)."""
+    fs, target = _file_system(spark, raw_path)
+    prefix = f"{BATCH_COL}="
+    return bool(fs.exists(target)) and any(
+        st.isDirectory() and st.getPath().getName().startswith(prefix)
+        and any(f.isFile() for f in fs.listStatus(st.getPath())) for st in fs.listStatus(target))
+
+
+def append_new_batches(spark: SparkSession, df: DataFrame, raw_root: str, table: str, source: str = "batch") -> int:
+    """Idempotent append of a stamped extract: the first load creates the table
+    from the arriving schema; later loads are aligned by name to that fixed schema. A
+    (batch, ``source``) pair the ledger holds is skipped; further rows of a landed batch
+    come under another source name. Returns the rows appended (0 when everything was loaded before).
+    """
+    path = f"{raw_root}/{table}"
+    by_upper = {c.upper(): c for c in df.columns}
+    ids = [r[0] for r in df.select(F.col(by_upper[BATCH_COL])).distinct().collect()]  # one value per batch
+    done = {r["batch_id"] for r in ledger(spark, path, ids) if r["source"] == source}
+    new = [b for b in ids if b not in done]
+    if not new:
+        return 0
+    return append_sources(df.filter(F.col(by_upper[BATCH_COL]).isin(new)), path, {b: [source] for b in new})
 
 
 def assert_loadable(status: DataFrame, batch_id: str) -> None:

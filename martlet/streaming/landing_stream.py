@@ -8,14 +8,13 @@ files loads nothing. Each micro-batch is one Parquet append job: task output
 is committed by the job commit, so a lost executor only re-runs its task and
 RAW readers never see a half-written micro-batch.
 
-Contract (as for the reference's ``_SUCCESS`` marker): a batch's files are
-made visible in the landing zone together, after the extract finished.
-
-A checkpoint protects against re-reading the same *paths*. The same batch
-delivered again under new paths is stopped by a ledger guard inside
-``foreachBatch``: batch ids already committed to RAW (read from its partition
-directory names, one listing) are filtered out before the append. A
-micro-batch retried after its append committed is therefore dropped too.
+A delivered folder carries a completion marker (``_SUCCESS``); a pass that meets a
+folder without one stops with an error before reading it, and the next pass finds it again.
+
+A checkpoint protects against re-reading the same *paths*. The ledger
+(``sources.landing``) adds, per table, which file of which batch has been committed: further
+files of a landed batch are appended, the same batch delivered again in another folder
+is left out, and a micro-batch whose append was interrupted is repaired when it is replayed.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martlet.config import BATCH_COL
-from martlet.sources.landing import landed_batch_ids
+from martlet.sources.landing import append_sources, is_marked, ledger
 
 
 def land_files(df: DataFrame, landing_root: str, table: str, batch_id: str) -> None:
@@ -35,36 +34,62 @@ def land_files(df: DataFrame, landing_root: str, table: str, batch_id: str) -> N
     df.write.mode("errorifexists").option("compression", "snappy").parquet(f"{landing_root}/{table}/{batch_id}")
 
 
+SOURCE_FILE = "_SOURCE_FILE"
+
+
 def append_micro_batch(batch_df: DataFrame, raw_path: str) -> int:
-    """The ``foreachBatch`` body: append the rows of batches not yet in RAW.
+    """The ``foreachBatch`` body: append the rows of files not yet committed to RAW.
 
-    Safe to replay: a micro-batch re-run after its append committed (driver
-    lost between the write and the checkpoint commit) finds its batch ids
-    already landed and appends nothing. Returns the rows appended, observed
-    during the write itself.
+    Rows carry their file in ``_SOURCE_FILE`` (without it the whole micro-batch is one source). A batch belongs
+    to the folder that first delivered it. Safe to replay at any point: a committed file is skipped, an interrupted
+    append is removed and done again. Returns the rows appended, observed during the write itself.
     """
-    existing = landed_batch_ids(batch_df.sparkSession, raw_path)
-    fresh = batch_df.filter(~F.col(BATCH_COL).isin(existing)) if existing else batch_df
-    obs = Observation(f"landed_{uuid.uuid4().hex}")
-    (fresh.observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(raw_path))
-    return int(obs.get["rows"])
+    spark = batch_df.sparkSession
+    if SOURCE_FILE not in batch_df.columns:
+        batch_df = batch_df.withColumn(SOURCE_FILE, F.lit("batch"))
+    arrived = sorted((r[0], r[1]) for r in batch_df.select(BATCH_COL, SOURCE_FILE).distinct().collect())  # one row per file
+    folder = lambda name: name.rsplit("/", 1)[0]
+    for name in sorted({folder(f) for _, f in arrived if "/" in f}):
+        if not is_marked(spark, name):
+            raise RuntimeError(f"{name} has no completion marker")
+    owner: dict[str, str] = {}
+    committed = set()
+    for r in ledger(spark, raw_path, sorted({b for b, _ in arrived})):
+        owner.setdefault(r["batch_id"], folder(r["source"]))
+        committed.add((r["batch_id"], r["source"]))
+    new: dict[str, list[str]] = {}
+    for b, f in arrived:
+        if owner.setdefault(b, folder(f)) == folder(f) and (b, f) not in committed:
+            new.setdefault(b, []).append(f)
+    if not new:
+        return 0
+    pairs = [F.struct(F.lit(b), F.lit(f)) for b, files in new.items() for f in files]
+    fresh = batch_df.filter(F.struct(BATCH_COL, SOURCE_FILE).isin(pairs)).drop(SOURCE_FILE)
+    return append_sources(fresh, raw_path, new)
 
 
 def start_landing_stream(spark: SparkSession, landing_root: str, raw_root: str, table: str,
-                         schema: StructType, checkpoint: str, written: list | None = None):
+                         schema: StructType, checkpoint: str, counts: list | None = None):
     """Start an ``availableNow`` stream for one table; returns the StreamingQuery.
 
-    ``written`` (optional) collects the rows appended by each micro-batch.
+    ``counts`` (optional) collects (rows read, rows appended) of each micro-batch. Files are taken
+    whatever their age; a micro-batch holds a bounded number of them.
     """
     raw_path = f"{raw_root}/{table}"
 
     def append_new(batch_df: DataFrame, _epoch: int) -> None:
-        rows = append_micro_batch(batch_df, raw_path)
-        if written is not None:
-            written.append(rows)
-
-    stream = spark.readStream.schema(schema).parquet(f"{landing_root}/{table}/*")
+        obs = Observation(f"read_{uuid.uuid4().hex}")
+        batch_df = batch_df.persist()
+        try:
+            batch_df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+            rows = append_micro_batch(batch_df, raw_path)
+        finally:
+            batch_df.unpersist()
+        if counts is not None:
+            counts.append((int(obs.get["rows"]), rows))
+
+    stream = (spark.readStream.schema(schema).option("maxFileAge", "36500d").option("maxFilesPerTrigger", 1000)
+              .parquet(f"{landing_root}/{table}/*").select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)))
     return (stream.writeStream.foreachBatch(append_new)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
@@ -75,20 +100,16 @@ def run_landing(spark: SparkSession, landing_root: str, raw_root: str, schemas:
                 checkpoint_root: str) -> dict[str, tuple[int, int]]:
     """Run one availableNow pass for every table concurrently.
 
-    Returns ``{table: (rows_read, rows_written)}``: rows read come from the
-    query progress (``numInputRows``), rows written from the observed appends.
+    Returns ``{table: (rows_read, rows_written)}``, both counted in every micro-batch of the pass.
     """
-    written = {t: [] for t in schemas}
+    counts = {t: [] for t in schemas}
     queries = {}
     try:
         for t, s in schemas.items():
-            queries[t] = start_landing_stream(spark, landing_root, raw_root, t, s, f"{checkpoint_root}/{t}",
-                                              written[t])
-        out = {}
-        for t, q in queries.items():
+            queries[t] = start_landing_stream(spark, landing_root, raw_root, t, s, f"{checkpoint_root}/{t}", counts[t])
+        for q in queries.values():
             q.awaitTermination()
-            out[t] = (int(sum(p["numInputRows"] for p in q.recentProgress)), sum(written[t]))
-        return out
+        return {t: (sum(r for r, _ in c), sum(w for _, w in c)) for t, c in counts.items()}
     finally:  # a failed table must not leave the other streams running
         for q in queries.values():
             if q.isActive:

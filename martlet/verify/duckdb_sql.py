@@ -208,50 +208,94 @@ SELECT product_id, product_name, brand, category, department, sku,
        CAST(cost AS DECIMAL(18,4)) AS current_unit_cost,
        distribution_center_id, source_batch_id, extracted_at
 FROM {p}stg_products""",
-    "fct_order_items": """
-WITH parent AS (SELECT order_id, source_batch_id, created_at FROM {p}stg_orders),
-     unit AS (SELECT inventory_item_id, source_batch_id, CAST(cost AS DECIMAL(18,4)) AS unit_cost
-              FROM {p}stg_inventory_items),
-     priced AS (
-        SELECT i.*, parent.created_at AS order_created_at, unit.unit_cost,
-               CAST(i.sale_price AS DECIMAL(18,4)) AS item_amount
-        FROM {p}stg_order_items i
-        LEFT JOIN parent ON parent.order_id = i.order_id AND parent.source_batch_id = i.source_batch_id
-        LEFT JOIN unit ON unit.inventory_item_id = i.inventory_item_id
-                      AND unit.source_batch_id = i.source_batch_id)
-SELECT order_item_id, order_id, customer_id, product_id, inventory_item_id,
-       order_created_at, CAST(order_created_at AS DATE) AS order_date, created_at AS item_created_at,
-       shipped_at, delivered_at, returned_at, order_item_status, CAST(1 AS BIGINT) AS item_quantity,
-       item_amount, unit_cost,
-       CAST(CASE order_item_status WHEN 'complete' THEN item_amount ELSE 0 END AS DECIMAL(18,4)) AS completed_sales_amount,
-       CAST(CASE order_item_status WHEN 'complete' THEN unit_cost ELSE 0 END AS DECIMAL(18,4)) AS completed_cost_amount,
-       CAST(CASE order_item_status WHEN 'complete' THEN item_amount - unit_cost ELSE 0 END AS DECIMAL(18,4))
-           AS completed_gross_margin_amount,
-       CAST(CASE order_item_status WHEN 'cancelled' THEN item_amount ELSE 0 END AS DECIMAL(18,4)) AS cancelled_item_amount,
-       CAST(CASE order_item_status WHEN 'returned' THEN item_amount ELSE 0 END AS DECIMAL(18,4)) AS returned_item_amount,
-       is_created_after_extract, source_batch_id, extracted_at
-FROM priced""",
-    "mart_daily_sales": """
-SELECT order_date, source_batch_id,
-       count(DISTINCT order_id) AS order_count,
-       count(DISTINCT customer_id) AS customer_count,
-       CAST(sum(item_quantity) AS BIGINT) AS item_count,
-       CAST(sum(CASE WHEN order_item_status = 'complete' THEN 1 ELSE 0 END) AS BIGINT) AS completed_item_count,
-       CAST(sum(CASE WHEN order_item_status = 'cancelled' THEN 1 ELSE 0 END) AS BIGINT) AS cancelled_item_count,
-       CAST(sum(CASE WHEN order_item_status = 'returned' THEN 1 ELSE 0 END) AS BIGINT) AS returned_item_count,
-       CAST(sum(CASE WHEN order_item_status = 'shipped' THEN 1 ELSE 0 END) AS BIGINT) AS shipped_item_count,
-       CAST(sum(CASE WHEN order_item_status = 'processing' THEN 1 ELSE 0 END) AS BIGINT) AS processing_item_count,
-       CAST(sum(item_amount) AS DECIMAL(28,4)) AS ordered_item_amount,
-       CAST(sum(completed_sales_amount) AS DECIMAL(28,4)) AS completed_sales_amount,
-       CAST(sum(completed_cost_amount) AS DECIMAL(28,4)) AS completed_cost_amount,
-       CAST(sum(completed_gross_margin_amount) AS DECIMAL(28,4)) AS completed_gross_margin_amount,
-       CAST(sum(cancelled_item_amount) AS DECIMAL(28,4)) AS cancelled_item_amount,
-       CAST(sum(returned_item_amount) AS DECIMAL(28,4)) AS returned_item_amount,
-       CAST(sum(CASE WHEN is_created_after_extract THEN 1 ELSE 0 END) AS BIGINT) AS future_created_item_count
-FROM {p}fct_order_items
-GROUP BY order_date, source_batch_id""",
 }
 
+# The sales fact, straight from the driver's lines and orders: no RAW, no staging, no join to inventory. What a
+# line counts for comes from a small table of statuses and weights.
+STATUS_WEIGHTS = """
+SELECT * FROM (VALUES ('N', 'F', 'complete', 1, 0, 0), ('N', 'O', 'shipped', 0, 0, 0), ('R', 'F', 'returned', 0, 0, 1),
+                      ('R', 'O', 'returned', 0, 0, 1), ('A', 'F', 'cancelled', 0, 1, 0), ('A', 'O', 'processing', 0, 0, 0))
+     w(flag, line, status, sold, cancelled, returned)"""
+SOLD_LINES = f"""
+SELECT n.item_id, n.l_orderkey AS order_id, n.l_partkey AS part, w.status, w.sold, w.cancelled, w.returned,
+       CAST(n.l_extendedprice AS DECIMAL(18,4)) AS price,
+       CAST(n.l_extendedprice * (1.0 - n.l_discount) AS DECIMAL(18,4)) AS cost,
+       CAST(n.l_shipdate AS TIMESTAMP) AS ship,
+       (SELECT any_value(o_custkey) FROM orders WHERE o_orderkey = n.l_orderkey) AS buyer,
+       (SELECT any_value(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderkey = n.l_orderkey) AS day
+FROM lines n, status_weights w WHERE w.flag = n.l_returnflag AND w.line = n.l_linestatus"""
+# the planted faults, said once more on the lines themselves
+FAULTY_LINES = """
+SELECT s.* REPLACE (CASE WHEN item_id % 97 = 3 THEN 'lost' ELSE status END AS status,
+                    CASE WHEN item_id % 97 = 3 THEN 0 ELSE sold END AS sold,
+                    CASE WHEN item_id % 97 = 3 THEN 0 ELSE cancelled END AS cancelled,
+                    CASE WHEN item_id % 97 = 3 THEN 0 ELSE returned END AS returned,
+                    CASE WHEN order_id % 11 = 0 THEN buyer + 1 ELSE buyer END AS buyer,
+                    CASE WHEN item_id % 211 = 0 THEN NULL ELSE part END AS part)
+FROM sold_lines s, range(CASE WHEN s.order_id % 1000 = 1 THEN 2 ELSE 1 END)"""
+FACT = """
+SELECT item_id AS order_item_id, order_id, buyer AS customer_id, part AS product_id, item_id AS inventory_item_id,
+       CAST(day AS TIMESTAMP) + to_hours(CAST(order_id % 24 AS INTEGER)) AS order_created_at, day AS order_date,
+       ship AS item_created_at,
+       CASE WHEN {dispatched} THEN ship + INTERVAL 1 DAY END AS shipped_at,
+       CASE WHEN {arrived} THEN ship + INTERVAL 3 DAY END AS delivered_at,
+       CASE WHEN {back} THEN ship + INTERVAL 10 DAY END AS returned_at,
+       status AS order_item_status, CAST(1 AS BIGINT) AS item_quantity, price AS item_amount, cost AS unit_cost,
+       CAST(price * sold AS DECIMAL(18,4)) AS completed_sales_amount,
+       CAST(cost * sold AS DECIMAL(18,4)) AS completed_cost_amount,
+       CAST((price - cost) * sold AS DECIMAL(18,4)) AS completed_gross_margin_amount,
+       CAST(price * cancelled AS DECIMAL(18,4)) AS cancelled_item_amount,
+       CAST(price * returned AS DECIMAL(18,4)) AS returned_item_amount,
+       ship > {extracted} AS is_created_after_extract, '{batch}' AS source_batch_id, {extracted} AS extracted_at
+FROM {lines}"""
+# Daily figures in long form: one row per day and status, then per day; distinct counts from distinct pairs.
+DAILY = """
+WITH by_status AS (
+        SELECT order_date, source_batch_id, order_item_status AS s, count(*) AS n, sum(item_amount) AS amount,
+               sum(unit_cost) AS cost, sum(item_amount - unit_cost) AS margin,
+               count(*) FILTER (WHERE is_created_after_extract) AS late
+        FROM {fact} GROUP BY ALL),
+     ids AS (
+        SELECT order_date, source_batch_id, kind, count(*) AS n
+        FROM (SELECT DISTINCT order_date, source_batch_id, 'order' AS kind, order_id AS id FROM {fact}
+              UNION SELECT order_date, source_batch_id, 'customer', customer_id FROM {fact})
+        WHERE id IS NOT NULL GROUP BY ALL),
+     long AS (
+        SELECT order_date, source_batch_id, s || '#' AS measure, n::DECIMAL(38,4) AS v FROM by_status
+        UNION ALL SELECT order_date, source_batch_id, s || '$', amount FROM by_status
+        UNION ALL SELECT order_date, source_batch_id, s || '-', cost FROM by_status
+        UNION ALL SELECT order_date, source_batch_id, s || '+', margin FROM by_status
+        UNION ALL SELECT order_date, source_batch_id, 'late', late FROM by_status
+        UNION ALL SELECT order_date, source_batch_id, 'all#', n FROM by_status
+        UNION ALL SELECT order_date, source_batch_id, 'all$', amount FROM by_status
+        UNION ALL SELECT order_date, source_batch_id, kind, n FROM ids)
+SELECT order_date, source_batch_id, {measures}
+FROM long GROUP BY order_date, source_batch_id"""
+_WHOLE = {"order_count": "order", "customer_count": "customer", "item_count": "all#", "completed_item_count": "complete#",
+          "cancelled_item_count": "cancelled#", "returned_item_count": "returned#", "shipped_item_count": "shipped#",
+          "processing_item_count": "processing#"}
+_MONEY = {"ordered_item_amount": "all$", "completed_sales_amount": "complete$", "completed_cost_amount": "complete-",
+          "completed_gross_margin_amount": "complete+", "cancelled_item_amount": "cancelled$",
+          "returned_item_amount": "returned$"}
+
+
+def daily(fact: str, margin: str = "DECIMAL(28,4)") -> str:
+    """The daily figures of a fact relation; ``margin`` is the type of the gross margin column."""
+    def total(key: str, kind: str) -> str:
+        return f"CAST(coalesce(sum(v) FILTER (WHERE measure = '{key}'), 0) AS {kind})"
+
+    columns = [f"{total(k, 'BIGINT')} AS {c}" for c, k in _WHOLE.items()]
+    columns += [f"{total(k, margin if 'margin' in c else 'DECIMAL(28,4)')} AS {c}" for c, k in _MONEY.items()]
+    return DAILY.format(fact=fact, measures=",\n       ".join([*columns, f"{total('late', 'BIGINT')} AS future_created_item_count"]))
+
+
+def _fact(lines: str) -> str:
+    # shipping times depend on the status a line was sent under, which the planted status fault does not touch
+    sent = "(SELECT w.status FROM sold_lines w WHERE w.item_id = l.item_id)"
+    return FACT.format(lines=f"{lines} l", batch=SELECTED, extracted=X[(SELECTED, "sales")],
+                       dispatched=f"{sent} IN ('shipped', 'complete', 'returned')",
+                       arrived=f"{sent} IN ('complete', 'returned')", back=f"{sent} = 'returned'")
+
 
 def _library() -> dict[str, str]:
     lib = dict(SRC)
@@ -262,6 +306,9 @@ def _library() -> dict[str, str]:
             lib[f"{p}stg_{t}"] = STG[t] + f"\nFROM {p}raw_{t} WHERE _BATCH_ID = '{SELECTED}'"
         for name, tmpl in MART_TEMPLATES.items():
             lib[f"{p}{name}"] = tmpl.format(p=p)
+        lib[f"{p}fct_order_items"] = _fact(f"{p}sold_lines")
+        lib[f"{p}mart_daily_sales"] = daily(f"{p}fct_order_items")
+    lib |= {"status_weights": STATUS_WEIGHTS, "sold_lines": SOLD_LINES, "f_sold_lines": FAULTY_LINES}
     return lib
 
 

@@ -55,7 +55,7 @@ def tree(df) -> str:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session(shuffle_partitions=8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
+    spark = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
                                                        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
     spark.sparkContext.setLogLevel("ERROR")
     print("# Physical plan shapes (broadcast disabled, i.e. every join planned for large inputs)\n")

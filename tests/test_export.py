@@ -31,4 +31,15 @@ def test_export_is_ordered_verified_and_fingerprinted(spark):
     v = export.verify_export(spark, mart, paths).first()
     assert v.matches_table and (v.json_rows, v.json_item_count, v.json_order_count) == (3, 12, 6)
     fp = {r.copy: (r.row_count, r.fingerprint) for r in export.fingerprint_export(spark, mart, paths).collect()}
-    assert fp["table"] == fp["parquet"]
+    assert fp["table"] == fp["parquet"] == fp["json"]
+
+
+def test_record_is_written_and_a_mismatch_stops(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="martlet-exp-")
+    done = export.export_and_record(spark, _mart(spark), f"{root}/good")
+    record = {r["copy"]: (r["row_count"], r["fingerprint"]) for r in spark.read.json(done["record"]).collect()}
+    assert len(record) == 3 and len(set(record.values())) == 1
+    real = export.export_mart
+    monkeypatch.setattr(export, "export_mart", lambda mart, out: real(mart.withColumn("order_count", mart.order_count + 1), out))
+    with pytest.raises(RuntimeError, match="differ"):
+        export.export_and_record(spark, _mart(spark), f"{root}/bad")

@@ -76,3 +76,23 @@ def test_staging_refuses_a_non_utc_session(spark):
         configure(spark)                       # re-pins UTC (and the other settings)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert select_batch(raw, "20260101T000000Z").count() == 1
+
+
+def test_fingerprint_tells_separators_and_null_texts_apart(spark):
+    schema = "a string, b string"
+    one = table_fingerprint(spark.createDataFrame([("a|b", "c"), ("\\N", "z")], schema)).first()
+    two = table_fingerprint(spark.createDataFrame([("a", "b|c"), (None, "z")], schema)).first()
+    assert one["row_count"] == two["row_count"] and one["fingerprint"] != two["fingerprint"]
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from martlet import session
+
+    monkeypatch.setattr(session, "is_local", lambda s: False)
+
+    class NoFolder:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: None)})
+        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(NoFolder())

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
+from martlet.config import TABLES
 from martlet.sources import landing
 from martlet.sources.raw_store import land_raw
 
@@ -24,6 +25,8 @@ def test_write_guard_rejects_empty_and_torn(spark):
     assert landing.write_batch_table(df, f"{root}/ok", 5) == 5
     with pytest.raises(RuntimeError):
         landing.write_batch_table(df, f"{root}/torn", 6)
+    assert sorted(os.listdir(root)) == ["ok"]                              # nothing readable is left
+    assert landing.write_batch_table(df, f"{root}/torn", 5) == 5           # and the retry works
     with pytest.raises(RuntimeError):
         landing.write_batch_table(df.limit(0), f"{root}/empty")
 
@@ -52,8 +55,7 @@ def test_raw_store_prunes_partitions(spark):
 
 def test_manifest_completeness_and_latest(spark):
     m = spark.createDataFrame(
-        [(t, "20260101T000000Z", 5) for t in ("distribution_centers", "events", "inventory_items", "order_items",
-                                                "orders", "products", "users")]
+        [(t, "20260101T000000Z", 5) for t in TABLES]
         + [("orders", "20260201T000000Z", 3), ("junk", "20260201T000000Z", 1), ("orders", "20261231", 9)],
         "table_name string, batch_id string, row_count long")
     status = {r.batch_id: r for r in landing.complete_batches(m).collect()}
@@ -65,8 +67,7 @@ def test_manifest_completeness_and_latest(spark):
 
 def test_assert_loadable_refuses_incomplete_unknown_and_missing(spark):
     m = spark.createDataFrame(
-        [(t, "20260101T000000Z", 5) for t in ("distribution_centers", "events", "inventory_items", "order_items",
-                                                "orders", "products", "users")]
+        [(t, "20260101T000000Z", 5) for t in TABLES]
         + [("orders", "20260201T000000Z", 3)],
         "table_name string, batch_id string, row_count long")
     status = landing.complete_batches(m)
@@ -111,3 +112,27 @@ def test_latest_batch_ignores_malformed_ids_that_sort_higher(spark):
          ("orders", "20260301T120000Z", 2)],
         "table_name string, batch_id string, row_count long")
     assert landing.latest_batch(m).first().batch_id == "20260301T120000Z"
+
+
+def test_delivered_batch_needs_its_marker(spark):
+    root = tempfile.mkdtemp(prefix="martlet-deliver-")
+    extracts = {t: spark.createDataFrame([(i, t) for i in range(3)], "id long, name string") for t in TABLES}
+    instant = datetime(2026, 3, 1, 9, tzinfo=timezone(timedelta(hours=9)))
+    with pytest.raises(RuntimeError):                                      # a torn table leaves no marker
+        landing.deliver_batch(spark, extracts, f"{root}/a", instant, {t: 4 if t == "users" else 3 for t in TABLES})
+    with pytest.raises(ValueError, match="marker"):
+        landing.load_delivered(spark, f"{root}/a", "20260301T000000Z", f"{root}/raw")
+    assert landing.deliver_batch(spark, extracts, f"{root}/b", instant) == "20260301T000000Z"
+    assert landing.load_delivered(spark, f"{root}/b", "20260301T000000Z", f"{root}/raw") == {t: 3 for t in TABLES}
+    assert landing.load_delivered(spark, f"{root}/b", "20260301T000000Z", f"{root}/raw") == {t: 0 for t in TABLES}
+    with pytest.raises(ValueError):
+        landing.deliver_batch(spark, {"users": extracts["users"]}, f"{root}/c", instant)
+
+
+def test_further_rows_of_a_batch_come_under_another_source(spark):
+    root = tempfile.mkdtemp(prefix="martlet-more-")
+    part = lambda a, b: landing.stamp_batch(spark.range(a, b).withColumnRenamed("id", "Id"), "20260101T000000Z", "2026-01-01 00:00:00")
+    assert landing.append_new_batches(spark, part(0, 5), root, "t", "file-1") == 5
+    assert landing.append_new_batches(spark, part(5, 9), root, "t", "file-2") == 4
+    assert landing.append_new_batches(spark, part(5, 9), root, "t", "file-2") == 0
+    assert sorted(r.ID for r in spark.read.parquet(f"{root}/t").collect()) == list(range(9))

@@ -1,7 +1,10 @@
 """Exactly-once landing: re-runs, re-deliveries and replayed micro-batches add nothing."""
 
+import os
 import tempfile
 
+import pytest
+
 from martlet.sources.landing import stamp_batch
 from martlet.streaming import landing_stream
 
@@ -35,3 +38,53 @@ def test_available_now_stream_is_idempotent(spark):
     assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (6, 2)}
     counts = {r.batch_id: r.row_count for r in landing_stream.raw_batch_counts(spark, raw, ["t"]).collect()}
     assert counts == {"20260101T000000Z": 4, "20260201T000000Z": 2}
+
+
+def _contents(spark, raw):
+    return sorted(tuple(r) for r in spark.read.parquet(raw).select("_BATCH_ID", "ID", "STATUS").collect())
+
+
+def test_late_files_of_a_landed_batch_are_appended(spark):
+    root = tempfile.mkdtemp(prefix="martlet-late-")
+    zone, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/ckpt"
+    first = _batch(spark, "20260101T000000Z", 10)
+    landing_stream.land_files(first, zone, "t", "20260101T000000Z")
+    schemas = {"t": first.schema}
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (10, 10)}
+    late = stamp_batch(spark.createDataFrame([(i, "late") for i in range(100, 107)], "id long, status string"),
+                       "20260101T000000Z", "2026-01-01 00:00:00")
+    late.write.mode("append").parquet(f"{zone}/t/20260101T000000Z")
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (7, 7)}
+    assert landing_stream.run_landing(spark, zone, raw, schemas, f"{ckpt}-lost") == {"t": (17, 0)}   # even without its checkpoint
+    assert len(_contents(spark, f"{raw}/t")) == 17
+
+
+def test_interrupted_append_is_repaired(spark):
+    raw = f"{tempfile.mkdtemp(prefix='martlet-half-')}/t"
+    whole = _batch(spark, "20260101T000000Z", 10)
+    # what an interrupted commit leaves: some rows in the partition folder and no ledger row
+    whole.limit(4).write.partitionBy("_BATCH_ID").parquet(raw)
+    assert landing_stream.append_micro_batch(whole, raw) == 10
+    assert landing_stream.append_micro_batch(whole, raw) == 0
+    assert _contents(spark, raw) == [("20260101T000000Z", i, f"s{i}") for i in range(10)]
+
+
+def test_older_files_load_and_unmarked_folders_are_refused(spark):
+    root = tempfile.mkdtemp(prefix="martlet-old-")
+    zone, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/ckpt"
+    new = _batch(spark, "20260201T000000Z", 3)
+    landing_stream.land_files(new, zone, "t", "20260201T000000Z")
+    schemas = {"t": new.schema}
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (3, 3)}
+    landing_stream.land_files(_batch(spark, "20260101T000000Z", 2), zone, "t", "20260101T000000Z")
+    folder = f"{zone}/t/20260101T000000Z"
+    for name in os.listdir(folder):
+        os.utime(f"{folder}/{name}", (1_600_000_000, 1_600_000_000))     # years older than the landed batch
+    marker = f"{folder}/_SUCCESS"
+    os.remove(marker)
+    with pytest.raises(Exception, match="completion marker"):
+        landing_stream.run_landing(spark, zone, raw, schemas, ckpt)
+    assert len(_contents(spark, f"{raw}/t")) == 3
+    open(marker, "w").close()
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (2, 2)}
+    assert len(_contents(spark, f"{raw}/t")) == 5
