@@ -171,14 +171,16 @@ def remove(docs: DataFrame, items: DataFrame, *, what: str = "documents", text:
     if what != "spans":
         raise ValueError(f"what must be documents or spans, not {what!r}")
 
+    columns_kept = list(docs.columns)
+
     def cut(batches):
         for batch in slices(batches):
             at, k = batch.schema.get_field_index(text), batch.schema.get_field_index(ranges)
             bodies = [cut_ranges(t, r) if r else t
                       for t, r in zip(batch.column(at).to_pylist(), batch.column(k).to_pylist(), strict=True)]
             columns = [pa.array(bodies, batch.schema.field(c).type) if c == at else batch.column(c)
-                       for c in range(len(docs.columns))]
-            yield pa.RecordBatch.from_arrays(columns, names=list(docs.columns))
+                       for c in range(len(columns_kept))]
+            yield pa.RecordBatch.from_arrays(columns, names=columns_kept)
 
     return marked.mapInArrow(cut, docs.schema)
 
