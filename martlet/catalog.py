@@ -40,6 +40,18 @@ def register(name: str):
     return deco
 
 
+def _sources(spark: SparkSession, sf_dir: str) -> tuple:
+    """The driver tables' files (path, size, time): what a result kept for this folder was computed from."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for name in sorted(set(SOURCE_TABLE.values())):
+        path = Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for st in path.getFileSystem(conf).listStatus(path):
+            files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return tuple(sorted(files))
+
+
 _STORED: dict[tuple, dict[str, DataFrame]] = {}
 _LOCK = threading.RLock()  # callers may run queries from several threads
 
@@ -48,7 +60,7 @@ def stored_raw(spark: SparkSession, sf_dir: str, faulty: bool = False) -> dict[s
     """RAW derived from the driver tables, landed once per application as a
     ``_BATCH_ID``-partitioned Parquet table in the checkpoint folder."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty)
+    key = (spark.sparkContext.applicationId, _sources(spark, sf_dir), faulty)
     with _LOCK:
         if key not in _STORED:
             root = work_dir(spark, "raw-faulty" if faulty else "raw")
@@ -62,7 +74,7 @@ _BUILDS: dict[tuple, Build] = {}
 def _cached_build(spark: SparkSession, sf_dir: str, faulty: bool) -> Build:
     """One lazily built set of models per application and input: DataFrames are
     immutable plans, so queries reuse the already analysed staging models."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty, "views")
+    key = (spark.sparkContext.applicationId, _sources(spark, sf_dir), faulty, "views")
     with _LOCK:
         if key not in _BUILDS:
             _BUILDS[key] = build(stored_raw(spark, sf_dir, faulty=faulty), SELECTED_BATCH)
@@ -82,7 +94,7 @@ def built_tables(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Buil
     checks and reconciliations read them from Parquet instead of re-joining
     and re-aggregating staging for every check."""
     b = faulty_build(spark, sf_dir) if faulty else clean_build(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faulty, "tables")
+    key = (spark.sparkContext.applicationId, _sources(spark, sf_dir), faulty, "tables")
     with _LOCK:
         if key not in _BUILDS:
             root = work_dir(spark, "marts-faulty" if faulty else "marts")

@@ -21,6 +21,8 @@ recomputes at most one step's tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +44,44 @@ def register_views(b: Build, prefix: str = "") -> list[str]:
     return names
 
 
+class CheckFailure(RuntimeError):
+    """Declared checks or reconciliations failed; ``totals`` has the failures per family."""
+
+    def __init__(self, batch_id: str, totals: dict[str, int]):
+        super().__init__(f"batch {batch_id} fails its checks: { {k: n for k, n in totals.items() if n} }")
+        self.totals = totals
+
+
+def _publish(spark: SparkSession, run_root: str, out_root: str) -> None:
+    """Move a run's tables to ``out_root``, and the ones they replace to the run's ``previous`` folder.
+
+    Readers see the old or the new table of each name; a failure in between leaves every file under one of the two roots.
+    """
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = Path(out_root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(Path(f"{run_root}/previous"))
+    for name in (*PUBLISHED, "check_results"):
+        new, live, old = Path(f"{run_root}/{name}"), Path(f"{out_root}/{name}"), Path(f"{run_root}/previous/{name}")
+        if fs.exists(live) and not fs.rename(live, old):
+            raise RuntimeError(f"could not set aside {out_root}/{name}")
+        if not fs.rename(new, live):
+            fs.rename(old, live)
+            raise RuntimeError(f"could not publish {out_root}/{name}")
+
+
+PUBLISHED = ("dim_customers", "dim_products", "fct_order_items", "mart_daily_sales")
+
+
 def build_and_check(spark: SparkSession, raw: dict[str, DataFrame], out_root: str, batch_id: str,
-                    declared: dict = DECLARED_TESTS, workers: int = 4) -> dict[str, int]:
-    """Build the four tables for one batch, check them; failures per check family."""
+                    declared: dict = DECLARED_TESTS, workers: int = 4, fail_on_errors: bool = True) -> dict[str, int]:
+    """Build the four tables for one batch, check them, publish them; failures per check family.
+
+    Tables are written under ``out_root/_runs/<run>`` and checked there. Only then do they replace the
+    published ones. With ``fail_on_errors`` a failed check raises ``CheckFailure`` instead, and what was
+    published before stays as it is.
+    """
     require_batch_id(batch_id)
+    live_root, out_root = out_root, f"{out_root}/_runs/{uuid.uuid4().hex}"
     staged_build = build(raw, batch_id)
     out = run_concurrently({name: (lambda n=name: materialize(getattr(staged_build, n), f"{out_root}/{n}"))
                             for name in ("dim_customers", "dim_products", "fct_order_items")}, workers)
@@ -76,19 +112,22 @@ def build_and_check(spark: SparkSession, raw: dict[str, DataFrame], out_root: st
     totals: dict[str, int] = {}
     for test_name, _m, _c, failures in rows:
         totals[test_name] = totals.get(test_name, 0) + int(failures)
+    if fail_on_errors and any(totals.values()):
+        raise CheckFailure(batch_id, totals)
+    _publish(spark, out_root, live_root)
     return totals
 
 
 def build_batch(spark: SparkSession, raw_root: str, out_root: str, batch_id: str,
                 tables: tuple[str, ...] = TABLES, workers: int = 4,
-                require_complete: bool = False) -> dict[str, int]:
+                require_complete: bool = True, fail_on_errors: bool = True) -> dict[str, int]:
     """Build and check one batch read from a ``_BATCH_ID``-partitioned RAW store.
 
-    With ``require_complete`` the batch must first be complete in the RAW
+    With ``require_complete`` (the default) the batch must first be complete in the RAW
     manifest (every expected table landed, none empty): tables are committed
     one by one, so a batch is only selectable once all of them are in.
     """
     raw = {t: read_raw(spark, raw_root, t) for t in tables}
     if require_complete:
         assert_loadable(complete_batches(batch_manifest(raw), tables), batch_id)
-    return build_and_check(spark, raw, out_root, batch_id, workers=workers)
+    return build_and_check(spark, raw, out_root, batch_id, workers=workers, fail_on_errors=fail_on_errors)

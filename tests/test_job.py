@@ -1,6 +1,8 @@
 import tempfile
 
-from martlet.plans.job import build_batch, register_views
+import pytest
+
+from martlet.plans.job import CheckFailure, build_batch, register_views
 from martlet.plans.batch_build import build
 from martlet.sources.driver_tables import SECOND_BATCH, SELECTED_BATCH, raw_tables
 from martlet.sources.raw_store import land_raw
@@ -11,19 +13,24 @@ from conftest import SMALL
 def test_build_batch_from_partitioned_raw(spark):
     root = tempfile.mkdtemp(prefix="martlet-job-")
     land_raw(spark, raw_tables(spark, SMALL), f"{root}/raw")
-    totals = build_batch(spark, f"{root}/raw", f"{root}/marts", SELECTED_BATCH)
+    totals = build_batch(spark, f"{root}/raw", f"{root}/marts", SELECTED_BATCH, fail_on_errors=False)
     # Clean fixture: four driver event types (signup, error, click, view) are outside the declared list.
     assert totals == {"not_null": 0, "unique": 0, "relationships": 0, "accepted_values": 4,
                       "batch_row_count_matches": 0, "singular": 0}
     mart = spark.read.parquet(f"{root}/marts/mart_daily_sales")
-    assert mart.count() > 0 and mart.select("source_batch_id").distinct().count() == 1
-    # The second batch is incomplete (no events): its row-count check fails ...
-    totals2 = build_batch(spark, f"{root}/raw", f"{root}/marts2", SECOND_BATCH)
-    assert totals2["batch_row_count_matches"] == 1
-    # ... and with the completeness gate it is refused before anything is built.
-    import pytest
+    before = sorted(mart.collect())
+    assert before and mart.select("source_batch_id").distinct().count() == 1
+    # The second batch is incomplete (no events): it is refused before anything is built ...
     with pytest.raises(ValueError, match="incomplete"):
-        build_batch(spark, f"{root}/raw", f"{root}/marts3", SECOND_BATCH, require_complete=True)
+        build_batch(spark, f"{root}/raw", f"{root}/marts", SECOND_BATCH)
+    # ... and, built all the same, fails its row-count check; the published mart stays.
+    with pytest.raises(CheckFailure) as failed:
+        build_batch(spark, f"{root}/raw", f"{root}/marts", SECOND_BATCH, require_complete=False)
+    assert failed.value.totals["batch_row_count_matches"] == 1
+    assert sorted(spark.read.parquet(f"{root}/marts/mart_daily_sales").collect()) == before
+    build_batch(spark, f"{root}/raw", f"{root}/marts", SECOND_BATCH, require_complete=False, fail_on_errors=False)
+    after = spark.read.parquet(f"{root}/marts/mart_daily_sales")
+    assert [r[0] for r in after.select("source_batch_id").distinct().collect()] == [SECOND_BATCH]
 
 
 def test_register_views_for_sql(spark):
@@ -35,8 +42,6 @@ def test_register_views_for_sql(spark):
 
 
 def test_run_profile_writes_tables_and_gates(spark):
-    import pytest
-
     from martlet.config import TABLES
     from martlet.operators.profile import run_profile
     from martlet.sources.driver_tables import extract
@@ -51,3 +56,19 @@ def test_run_profile_writes_tables_and_gates(spark):
     faulty_sources = {t: extract(spark, SMALL, t, faulty=True) for t in TABLES}
     with pytest.raises(RuntimeError, match="orders"):
         run_profile(faulty, faulty_sources, SELECTED_BATCH, f"{root}/faulty")
+
+
+def test_profile_refuses_bad_ids_missing_tables_and_empty_batches(spark):
+    from martlet.config import TABLES
+    from martlet.operators.profile import run_profile
+    from martlet.sources.driver_tables import extract
+
+    raw = raw_tables(spark, SMALL)
+    sources = {t: extract(spark, SMALL, t) for t in TABLES}
+    root = tempfile.mkdtemp(prefix="martlet-profile-")
+    with pytest.raises(ValueError):
+        run_profile(raw, sources, "not-a-batch", f"{root}/a")
+    with pytest.raises(ValueError, match="exactly"):
+        run_profile({t: df for t, df in raw.items() if t != "users"}, sources, SELECTED_BATCH, f"{root}/b")
+    with pytest.raises(RuntimeError, match="refused"):
+        run_profile(raw, {t: df.limit(0) for t, df in sources.items()}, "20300101T000000Z", f"{root}/c")
