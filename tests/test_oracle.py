@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from martlet.catalog import REGISTRY
 from martlet.verify.compare import compare, duckdb_connection
 
 from conftest import SMALL
 
-NAMES = sorted(entry.queries())
+#: The training-data queries have their own tests, beside their subpackage.
+NAMES = sorted(REGISTRY)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,7 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(NAMES) <= set(entry.oracle_sql()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
