@@ -68,19 +68,24 @@ def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str,
     how many rows ``left`` has. Keys with more than ``total / share`` rows
     number fewer than ``share``, so that part of ``right`` is broadcast (its size
     is bounded whatever the data); every other key holds at most ``1 / share`` of
-    the rows and takes an ordinary shuffled join. Rows of ``left`` with a
-    hot key are resolved by the broadcast and only pass a shuffle with a random key.
+    the rows and takes an ordinary shuffled join. Rows resolved by the broadcast carry a
+    row-wise salt through that join, so a hot key is spread over all partitions. ``left`` is computed once.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(how)
     hot_min = max(total // share, 1)
     payload = [c for c in right.columns if c not in keys]
-    is_hot, value = free_names([*left.columns, *right.columns], "is_hot", "hot_value")
-    hot = F.broadcast(right.filter(F.col(count) > hot_min)
-                      .select(*keys, F.struct(*payload).alias(value), F.lit(True).alias(is_hot)))
-    tagged = left.join(hot, keys, "left")
-    resolved = tagged.filter(F.col(is_hot)).select(*left.columns, *[F.col(value)[c].alias(c) for c in payload])
-    rest = tagged.filter(F.col(is_hot).isNull()).select(*left.columns)
-    cold = rest.join(right.filter(F.col(count) <= hot_min), keys, how).select(*left.columns, *payload)
-    return resolved.unionByName(cold)
+    salt, hot, cold = free_names([*left.columns, *right.columns], "salt", "hot_value", "cold_value")
+    packed = F.struct(F.lit(True).alias("found"), *payload)
+    frequent = F.broadcast(right.filter(F.col(count) > hot_min).select(*keys, packed.alias(hot)))
+    others = right.filter(F.col(count) <= hot_min).select(*keys, F.lit(0).cast("bigint").alias(salt), packed.alias(cold))
+    tagged = left.join(frequent, keys, "left").withColumn(
+        salt, F.when(F.col(hot).isNull(), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1).cast("bigint"))
+    value = F.coalesce(F.col(hot), F.col(cold))
+    joined = tagged.join(others, [*keys, salt], "left")
+    if how == "inner":
+        joined = joined.filter(F.col(hot).isNotNull() | F.col(cold).isNotNull())
+    return joined.select(*left.columns, *[value[c].alias(c) for c in payload])
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
