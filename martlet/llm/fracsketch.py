@@ -103,7 +103,8 @@ def with_next(docs: DataFrame, key: str, order: str, columns: list[str], rows_pe
     copies = (docs.join(F.broadcast(named), value.eqNullSafe(F.col(h_key)) & (F.col(order) == F.col(h_order)))
               .select(*docs.columns, F.col(h_r).alias(r), F.col(h_sub).alias(sub), F.lit(True).alias(copied)))
     inside = Window.partitionBy(r, sub).orderBy(F.col(copied), value.desc_nulls_last(), F.col(order).desc())
-    both = ranged.unionByName(copies).withColumn(following, F.lead(F.struct(*columns)).over(inside))
+    # one lead per plain column: a struct inside the window would travel through the shuffle beside its columns
+    both = ranged.unionByName(copies).withColumn(following, F.struct(*[F.lead(c).over(inside).alias(c) for c in columns]))
     return both.filter(~F.col(copied)).drop(r, sub, copied), following
 
 
