@@ -4,7 +4,8 @@ P(grade <= k | x) = sigmoid(theta_k - w . x) with one weight vector for all orde
 severity (the sum of P(grade > k)), the most probable grade and P(grade > 0). Features are hashed 5-byte pieces of the text, lower-cased
 in A-Z with white space made single blanks; a piece seen c times counts 1 + ln c.
 
-Fitting uses a bounded sample: about ``sample`` labelled rows of each of the two label classes, hash-chosen (all where there are fewer). Only that sample's features come to the driver, where
+Fitting uses a bounded sample: about ``sample`` labelled rows of each of the two label classes, hash-chosen (all where there are fewer). A row weighs as many as
+its class has for each one drawn, so P(grade > 0) means the same at every size. Only that sample's features come to the driver, where
 a proximal gradient fit with an L1 penalty, over the features whose presence depends on the class (chi-square), leaves few weights. Scoring is
 one pass over all documents with the weights broadcast (their number is bounded by the hash range).
 
@@ -62,24 +63,26 @@ class Ordinal:
 
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_grades: int,
-                n_columns: int, penalty: float = 0.001, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
+                n_columns: int, penalty: float = 0.001, rounds: int = 500,
+                shares: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Thresholds and weights by accelerated proximal gradient on the mean negative log likelihood.
 
-    Columns are scaled to unit mean square, so one penalty fits all.
+    Columns are scaled to unit mean square, so one penalty fits all. Rows count in proportion to ``shares`` (all alike if not given).
     """
     n = len(grades)
-    scale = np.sqrt(np.bincount(columns, values ** 2, n_columns) / n)
+    c = np.ones(n) if shares is None else shares / shares.mean()
+    scale = np.sqrt(np.bincount(columns, c[rows] * values ** 2, n_columns) / n)
     scale[scale == 0] = 1
     x = values / scale[columns]
     v = np.ones(n_columns)
     for _ in range(20):  # largest curvature by power iteration
-        v = np.bincount(columns, x * np.bincount(rows, x * v[columns], n)[rows], n_columns) / n
+        v = np.bincount(columns, x * (c * np.bincount(rows, x * v[columns], n))[rows], n_columns) / n
         size = float(np.linalg.norm(v))
         if size == 0:
             break
         v /= size
     step = 1 / (0.5 * size + 1.0)
-    share = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / n, 1 / (n + 2), 1 - 1 / (n + 2))
+    share = np.clip(np.cumsum(np.bincount(grades, c, n_grades))[:-1] / n, 1 / (n + 2), 1 - 1 / (n + 2))
     theta = np.log(share / (1 - share)) + 1e-3 * np.arange(n_grades - 1)
     w = np.zeros(n_columns)
     ahead, t_ahead, momentum = w, theta, 1.0
@@ -89,8 +92,8 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
         with np.errstate(over="ignore"):
             high, low = (1 / (1 + np.exp(z - edge[grades + k])) for k in (1, 0))
         p = np.maximum(high - low, 1e-12)
-        d_z = 1 - high - low
-        up, down = high * (1 - high) / p, low * (1 - low) / p
+        d_z = c * (1 - high - low)
+        up, down = c * high * (1 - high) / p, c * low * (1 - low) / p
         d_theta = (np.bincount(grades, -up, n_grades)[:-1] + np.bincount(grades, down, n_grades)[1:]) / n
         d_w = np.bincount(columns, x * d_z[rows], n_columns) / n
         new = ahead - step * d_w
@@ -104,7 +107,10 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
 
 
 def _screened(rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, least: float = 30.0) -> np.ndarray:
-    """Which hashed features' presence depends on the class: chi-square of the 2 x 2 table, in three rows at least."""
+    """Which hashed features' presence depends on the class: chi-square of the 2 x 2 table, in three rows at least.
+
+    Chi-square is at most the number of rows, so half of them is enough where that is below ``least``.
+    """
     size = 1 << HASH_BITS
     a = np.bincount(columns[toxic[rows]], minlength=size).astype(float)
     b = np.bincount(columns[~toxic[rows]], minlength=size).astype(float)
@@ -112,7 +118,7 @@ def _screened(rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, least: f
     c, d = n1 - a, n0 - b
     with np.errstate(invalid="ignore", divide="ignore"):
         chi = (n1 + n0) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * n1 * n0)
-    return (np.nan_to_num(chi) >= least) & (a + b >= 3)
+    return (np.nan_to_num(chi) >= min(least, (n1 + n0) / 2)) & (a + b >= 3)
 
 
 def severity_grades(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, toxic: np.ndarray, n_grades: int) -> np.ndarray:
@@ -138,7 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     none = Ordinal(np.full(n_grades - 1, 40.0) + np.arange(n_grades - 1), np.zeros(1 << HASH_BITS))
     if not sizes.get(True):
         return none
-    share = F.when(F.col("toxic"), min(1.0, sample / sizes[True])).otherwise(min(1.0, sample / max(sizes.get(False, 0), 1)))
+    rate = {of: min(1.0, sample / max(sizes.get(of, 0), 1)) for of in (True, False)}
+    share = F.when(F.col("toxic"), rate[True]).otherwise(rate[False])
     drawn = known.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000)
 
     def run(batches):
@@ -160,7 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     kept = _screened(rows, columns, toxic)
     number = np.cumsum(kept) - 1
     use = kept[columns]
-    theta, own = fit_ordinal(rows[use], number[columns[use]], values[use], grades, n_grades, max(int(kept.sum()), 1))
+    theta, own = fit_ordinal(rows[use], number[columns[use]], values[use], grades, n_grades, max(int(kept.sum()), 1),
+                             shares=np.where(toxic, 1 / rate[True], 1 / rate[False]))
     weights = np.zeros(1 << HASH_BITS)
     weights[kept] = own[:int(kept.sum())]
     return Ordinal(theta, weights)

@@ -76,3 +76,19 @@ def test_very_long_text_in_parts(monkeypatch):
     monkeypatch.setattr(toxicity, "PART", 97)
     parts = toxicity.features(body)
     assert (whole[0] == parts[0]).all() and np.allclose(whole[1], parts[1])
+
+
+def test_probability_keeps_its_meaning_when_classes_are_sampled(spark):
+    docs = spark.createDataFrame([(i, "the same words in every row", "x", 1) for i in range(1800)], SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(1800)], "doc_id long, toxic int")
+    for sample in (3000, 150):  # all rows; one row of ten of the clean ones and three of four of the toxic ones
+        model = toxicity.fit(docs, labels, sample=sample)
+        assert abs(model.beyond(b"the same words in every row")[0] - 1 / 9) < 0.03, sample
+
+
+def test_few_labels_still_find_a_feature(spark):
+    rows, labels = corpus(20)
+    model = toxicity.fit(spark.createDataFrame([(k, t, "x", 1) for k, t in rows], SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.weights.any()
+    assert min(model.beyond(t.encode())[0] for (_, t), (_, y) in zip(rows, labels, strict=True) if y) > max(
+        model.beyond(t.encode())[0] for (_, t), (_, y) in zip(rows, labels, strict=True) if not y)
