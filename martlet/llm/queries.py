@@ -43,7 +43,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_report(table(spark, sf_dir, "documents"), max_bits=2, similarity=0.8)
+    return lines.line_report(table(spark, sf_dir, "documents"), max_bits=2, similarity=0.8, shingles=8)
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
