@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import decontaminate, fracsketch, langid, lines, packing, simhash, substrings, subword_lm, toxicity, warc
+from martlet.llm import (decontaminate, fracsketch, langid, lines, packing, pieces, prefix_trie, shared_queries, simhash, substrings,
+                         subword_lm, toxicity, warc)
 from martlet.llm.common import table
 from martlet.llm.oracle import ORACLE  # noqa: F401  (the entry module reads it here)
 
@@ -54,4 +55,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_warc, op4_fracsketch, op5_subword_lm, op6_langid, op7_simhash, op8_lines, op9_substrings, op10_decontaminate)}
+def op11_shared_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_queries.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.encoding_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_warc, op4_fracsketch, op5_subword_lm, op6_langid, op7_simhash, op8_lines, op9_substrings,
+                                   op10_decontaminate, op11_shared_queries, op12_prefix_trie, op13_pieces)}
