@@ -17,9 +17,10 @@ are kept; no rows give no rows; other columns are not read, and output names giv
 from __future__ import annotations
 
 import functools
-import itertools
 import re
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -33,10 +34,10 @@ from martlet.llm.common import free_names, slices
 
 #: The character that stands for a blank in pieces.
 BLANK = "▁"
-#: Units and pair verdicts a worker keeps, and the longest unit it keeps.
+#: Units (of each of two generations) and pair verdicts a worker keeps, and the longest unit it keeps.
 KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 1 << 18, 1 << 20, 64
-#: Units decoded at once, and bytes of ids and text sent on at once.
-PART, FLUSH = 1 << 16, 1 << 22
+#: Characters encoded and decoded at once (up to the next cut), and bytes of ids and text sent on at once.
+PART, FLUSH = 1 << 19, 1 << 22
 
 
 class PrefixEncoder:
@@ -58,13 +59,17 @@ class PrefixEncoder:
             raise ValueError("only models with byte pieces are supported")
         self.scores = {p: self.library.get_score(i) for i, p in self.pieces.items()}
         self.automaton = ahocorasick.Automaton()
+        self.verdicts: list[dict] = []
+        self.n_verdicts = 0
         for i, p in self.pieces.items():
-            self.automaton.add_word(p, (i, len(p)))
+            self.verdicts.append({})
+            self.automaton.add_word(p, (i, len(p), self.verdicts[-1]))
         self.automaton.make_automaton()
         across = any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.pieces.values())
         self.unit = re.compile("(?s).+") if across else re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        self.pairs: dict[int, bool] = {}
+        self.cut = re.compile("(?s).*" if across else f"(?s).*?[^{BLANK}](?={BLANK})")
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.anchor = next(i for i, p in self.pieces.items() if BLANK not in p)
         self.first, self.last = ([i] if i >= 0 else [] for i in (self.library.bos_id(), self.library.eos_id()))
 
@@ -81,67 +86,65 @@ class PrefixEncoder:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def _text(self, code: int) -> str:
-        """A piece by its id, a character without a piece by -1 less its code point, nothing for the text's start."""
-        return "" if code == self.size else self.pieces[code] if code >= 0 else chr(-1 - code)
-
-    def _apart(self, before: int, piece: int) -> bool:
-        """Whether ``piece`` stays as it is after ``before``."""
-        one, two = self._text(before), self.pieces[piece]
-        if len(self.pairs) >= KEPT_PAIRS:
-            self.pairs.clear()
-        found = self.pairs[before * (self.size + 1) + piece] = self.merged(one + two) == ([one, two] if one else [two])
+    def _apart(self, before: int | str, piece: int, verdicts: dict) -> bool:
+        """Whether ``piece`` stays as it is after ``before``: a piece, a character without one, or the start ("")."""
+        if self.n_verdicts >= KEPT_PAIRS:
+            for each in self.verdicts:
+                each.clear()
+            self.n_verdicts = 0
+        one, two = before if isinstance(before, str) else self.pieces[before], self.pieces[piece]
+        found = verdicts[before] = self.merged(one + two) == ([one, two] if one else [two])
+        self.n_verdicts += 1
         return found
 
-    def last_pieces(self, unit: str) -> tuple[list[int], list[int]]:
-        """Code and length of the last piece of each prefix of ``unit`` (position 0: the start)."""
-        n, known, stride = len(unit), self.pairs, self.size + 1
-        code, length = [self.size] * (n + 1), [0] * (n + 1)
-        done = 0
-        for end, (piece, size) in self.automaton.iter(unit):
-            while done < end:  # ends passed without a compatible piece: a character without one
-                done += 1
-                if not length[done]:
-                    code[done], length[done] = -1 - ord(unit[done - 1]), 1
-            if length[end + 1]:
+    def last_pieces(self, unit: str) -> tuple[list[int | str], list[int]]:
+        """Last piece of each prefix of ``unit``, or its last character where that has no piece, and its length; at 0 the start ("")."""
+        last, length, settled = ["", *unit], [1] * (len(unit) + 1), -1
+        for end, (piece, size, verdicts) in self.automaton.iter(unit):
+            if end == settled:
                 continue
-            before = code[end + 1 - size]
-            fits = known.get(before * stride + piece)
-            if self._apart(before, piece) if fits is None else fits:
-                code[end + 1], length[end + 1] = piece, size
-        for at in range(done + 1, n + 1):
-            if not length[at]:
-                code[at], length[at] = -1 - ord(unit[at - 1]), 1
-        return code, length
+            before = last[end + 1 - size]
+            fits = verdicts.get(before)
+            if self._apart(before, piece, verdicts) if fits is None else fits:
+                settled = end
+                last[end + 1], length[end + 1] = piece, size
+        return last, length
 
     def unit_ids(self, unit: str) -> bytes:
         """Ids of one unit, as little-endian 32-bit integers."""
-        code, length = self.last_pieces(unit)
+        last, length = self.last_pieces(unit)
         ids, at = [], len(unit)
         while at:
-            if code[at] >= 0:
-                ids.append(code[at])
+            piece = last[at]
+            if isinstance(piece, str):
+                ids.extend(self.bytes[b] for b in reversed(piece.encode()))
             else:
-                ids.extend(self.bytes[b] for b in reversed(unit[at - 1].encode()))
+                ids.append(piece)
             at -= length[at]
         ids.reverse()
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _known(self, unit: str) -> bytes:
-        found = self.units.get(unit)
-        if found is None:
-            found = self.unit_ids(unit)
-            if len(unit) <= KEPT_LENGTH:
-                if len(self.units) >= KEPT_UNITS:
-                    self.units.clear()
-                self.units[unit] = found
+        packed = array("I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _missed(self, unit: str) -> bytes:
+        """Ids of a unit that the younger generation does not hold."""
+        found = self.older.get(unit) or self.unit_ids(unit)
+        if len(unit) <= KEPT_LENGTH:
+            if len(self.units) >= KEPT_UNITS:
+                self.older = dict(self.units)
+                self.units.clear()
+            self.units[unit] = found
         return found
 
     def parts(self, text: str) -> Iterator[bytes]:
-        """Ids of a text without begin and end, ``PART`` units at a time."""
-        found = self.unit.finditer(self.library.normalize(text))
-        while some := b"".join([self._known(m.group()) for m in itertools.islice(found, PART)]):
-            yield some
+        """Ids of a text without begin and end, about ``PART`` characters at a time."""
+        body, at, known = self.library.normalize(text), 0, self.units.get
+        while at < len(body):
+            border = self.cut.match(body, at + PART)
+            end = border.end() if border else len(body)
+            yield b"".join([known(u) or self._missed(u) for u in self.unit.findall(body, at, end)])
+            at = end
 
     def encode(self, text: str) -> list[int]:
         """All ids, begin and end included."""

@@ -66,10 +66,10 @@ def test_bounded_memories_change_nothing(both, monkeypatch):
 def test_every_prefix_has_the_last_piece_of_its_own_encoding(both):
     own, _ = both
     unit = "▁internationalization"
-    code, length = own.last_pieces(unit)
+    found, length = own.last_pieces(unit)
     for n in range(1, len(unit) + 1):
         last = own.merged(unit[:n])[-1]
-        assert own.pieces[code[n]] == last and length[n] == len(last)
+        assert own.pieces[found[n]] == last and length[n] == len(last)
 
 
 def test_rows_nulls_repeats_and_clashing_names(spark, both):
