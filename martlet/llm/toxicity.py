@@ -4,10 +4,10 @@ P(grade <= k | x) = sigmoid(theta_k - w . x) with one weight vector for all orde
 severity (the sum of P(grade > k)), the most probable grade and P(grade > 0). Features are hashed 5-byte pieces of the text, lower-cased
 in A-Z with white space made single blanks; a piece seen c times counts 1 + ln c.
 
-Fitting uses a bounded sample: about ``sample`` labelled rows of each of the two label classes, hash-chosen (all where there are fewer). A row weighs as many as
-its class has for each one drawn, so P(grade > 0) means the same at every size. Only that sample's features come to the driver, where
-a proximal gradient fit with an L1 penalty, over the features whose presence depends on the class (chi-square), leaves few weights. Scoring is
-one pass over all documents with the weights broadcast (their number is bounded by the hash range).
+Fitting uses a bounded sample: about ``sample`` labelled keys of each of the two label classes, hash-chosen (all where there are fewer), and twice as
+many rows at most where keys repeat. A row weighs as many as its class has for each one drawn, so P(grade > 0) means the same at every size. The
+sample's features stay a table; Spark counts per feature the rows of either class that have it, and only features whose presence depends on the class (chi-square, the
+``most_features`` highest) come to the driver, for a proximal gradient fit with an L1 penalty. Scoring is one pass over all documents with the weights broadcast (their number is bounded by the hash range).
 
 Defined cases: null text is empty; null labels are ignored, contradictory ones count as toxic, labels without a document or a key too; with no toxic
 label every document gets severity 0; with no clean one the thresholds decide alone; repeated rows are scored each; a null key is never
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import LOWER, as_bytes, slices
+from martlet.llm.common import LOWER, as_bytes, slices, written
 
 GRAM = 5
 HASH_BITS = 18
@@ -106,69 +106,99 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
     return theta, w / scale
 
 
-def _screened(rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, least: float = 30.0) -> np.ndarray:
-    """Which hashed features' presence depends on the class: chi-square of the 2 x 2 table, in three rows at least.
+def _screened(a: np.ndarray, b: np.ndarray, n1: int, n0: int, most: int, least: float = 30.0) -> np.ndarray:
+    """Which features' presence depends on the class: chi-square of the 2 x 2 table, in three rows at least; the ``most`` highest.
 
-    Chi-square is at most the number of rows, so half of them is enough where that is below ``least``.
+    ``a`` of ``n1`` toxic and ``b`` of ``n0`` clean rows have the feature. Chi-square is at most the number of rows, so half of them is enough where that
+    is below ``least``.
     """
-    size = 1 << HASH_BITS
-    a = np.bincount(columns[toxic[rows]], minlength=size).astype(float)
-    b = np.bincount(columns[~toxic[rows]], minlength=size).astype(float)
-    n1, n0 = toxic.sum(), (~toxic).sum()
     c, d = n1 - a, n0 - b
     with np.errstate(invalid="ignore", divide="ignore"):
-        chi = (n1 + n0) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * n1 * n0)
-    return (np.nan_to_num(chi) >= min(least, (n1 + n0) / 2)) & (a + b >= 3)
+        chi = np.nan_to_num((n1 + n0) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * n1 * n0))
+    kept = (chi >= min(least, (n1 + n0) / 2)) & (a + b >= 3)
+    if kept.sum() > most:
+        best = np.argsort(-chi * kept, kind="stable")[:most]
+        kept = np.zeros_like(kept)
+        kept[best] = True
+    return kept
 
 
-def severity_grades(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, toxic: np.ndarray, n_grades: int) -> np.ndarray:
-    """Grades from two-class labels: 0 for clean rows; toxic rows by how often pieces typical of toxic rows occur, in equal parts.
+def severity_grades(amount: np.ndarray, toxic: np.ndarray, n_grades: int) -> np.ndarray:
+    """Grades from two-class labels: 0 for clean rows; toxic rows by how often (``amount``) typical pieces occur, in equal parts.
 
-    Typical pieces are at least ten times as frequent, by rows, among toxic rows. A toxic row without any is grade 1.
+    A toxic row without any is grade 1.
     """
-    size, n1, n0 = 1 << HASH_BITS, max(toxic.sum(), 1), max((~toxic).sum(), 1)
-    a = np.bincount(columns[toxic[rows]], minlength=size) / n1
-    b = np.bincount(columns[~toxic[rows]], minlength=size) / n0
-    typical = (a * n1 >= 3) & (a >= 10 * b)
-    amount = np.bincount(rows, np.exp(values - 1) * typical[columns], len(toxic))
     cuts = np.quantile(amount[toxic], np.arange(1, n_grades - 1) / (n_grades - 1)) if toxic.any() else []
     return np.where(toxic, 1 + np.searchsorted(cuts, amount, side="left"), 0)
 
 
+def _sampled(docs: DataFrame, known: DataFrame, key: str, text: str, sample: int) -> tuple[DataFrame, dict]:
+    """Features of the labelled sample (toxic, ids, values) as a table, and how many labelled rows a drawn one of each class stands for.
+
+    Label keys are drawn first, then document rows where keys repeat, so about ``sample`` keys and at most about twice as many rows of a class are drawn.
+    """
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    rate = {of: min(1.0, sample / max(sizes.get(of, 0), 1)) for of in (True, False)}
+    part = lambda col, share: F.pmod(F.xxhash64(col), F.lit(1_000_000)) < share * 1_000_000
+    drawn = F.broadcast(known.filter(part("key", F.when(F.col("toxic"), rate[True]).otherwise(rate[False]))))  # the sample is bounded
+    held = {r["toxic"]: r["count"] for r in docs.select(F.col(key).alias("key")).join(drawn, "key").groupBy("toxic").count().collect()}
+    thin = {of: min(1.0, 2 * sample / max(held.get(of, 0), 1)) for of in (True, False)}
+
+    def run(batches):
+        for batch in slices(batches, 64):
+            pairs = [features(t) for t in as_bytes(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([i for i, _ in pairs], pa.list_(pa.int32())),
+                                              pa.array([v for _, v in pairs], pa.list_(pa.float32()))], names=["toxic", "ids", "values"])
+
+    rows = (docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"), F.monotonically_increasing_id().alias("row"))
+            .join(drawn, "key").filter(part("row", F.when(F.col("toxic"), thin[True]).otherwise(thin[False]))))
+    found = rows.select("toxic", "text").mapInArrow(run, "toxic boolean, ids array<int>, values array<float>")
+    return written(found, "toxicity-sample"), {of: 1 / (rate[of] * thin[of]) for of in (True, False)}
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        n_grades: int = 4, sample: int = 3000) -> Ordinal:
+        n_grades: int = 4, sample: int = 3000, most_features: int = 4096) -> Ordinal:
     """The ordinal model of a bounded labelled sample."""
     known = (labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("key"))
              .agg(F.max(F.col(label).cast("int") > 0).alias("toxic")))
-    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     none = Ordinal(np.full(n_grades - 1, 40.0) + np.arange(n_grades - 1), np.zeros(1 << HASH_BITS))
-    if not sizes.get(True):
+    if not known.filter("toxic").take(1):
         return none
-    rate = {of: min(1.0, sample / max(sizes.get(of, 0), 1)) for of in (True, False)}
-    share = F.when(F.col("toxic"), rate[True]).otherwise(rate[False])
-    drawn = known.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000)
+    rows, stands_for = _sampled(docs, known, key, text, sample)
+    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    if not counts:
+        return none
+    # one row per hashed feature at most
+    present = (rows.select("toxic", F.explode("ids").alias("feature")).groupBy("feature")
+               .agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b")).toArrow())
+    a, b = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
+    at = present.column("feature").to_numpy()
+    a[at], b[at] = present.column("a").to_numpy(), present.column("b").to_numpy()
+    n1, n0 = counts.get(True, 0), counts.get(False, 0)
+    kept = _screened(a, b, n1, n0, most_features)
+    # typical of toxic rows: at least ten times as frequent among them
+    typical = (a >= 3) & (a / max(n1, 1) >= 10 * b / max(n0, 1))
+    shared = docs.sparkSession.sparkContext.broadcast((kept, typical))
 
     def run(batches):
-        for batch in slices(batches):
-            pairs = [features(t) for t in as_bytes(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([i.tolist() for i, _ in pairs], pa.list_(pa.int32())),
-                                              pa.array([v.tolist() for _, v in pairs], pa.list_(pa.float32()))], names=["toxic", "ids", "values"])
-
-    chosen = (docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
-              .join(F.broadcast(drawn), "key").select("toxic", "text")  # the sample is bounded
-              .mapInArrow(run, "toxic boolean, ids array<int>, values array<float>").toArrow())
-    if not chosen.num_rows:
-        return none
-    toxic = chosen.column("toxic").to_numpy()
+        kept, typical = shared.value
+        for batch in slices(batches, 64):
+            out = []
+            for ids, values in zip(batch.column(1), batch.column(2), strict=True):
+                i, v = ids.values.to_numpy(), values.values.to_numpy()
+                out.append((float(np.exp(v.astype(float) - 1) @ typical[i]), i[kept[i]], v[kept[i]]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.int32())),
+                                              pa.array([x[2] for x in out], pa.list_(pa.float32()))], names=["toxic", "amount", "ids", "values"])
+
+    # the sample's rows, with kept features only
+    chosen = rows.mapInArrow(run, "toxic boolean, amount double, ids array<int>, values array<float>").toArrow()
+    toxic = chosen.column("toxic").to_numpy().astype(bool)
     ids, values = chosen.column("ids").combine_chunks(), chosen.column("values").combine_chunks()
-    rows = np.repeat(np.arange(len(toxic)), np.diff(ids.offsets.to_numpy()))
-    columns, values = ids.flatten().to_numpy(), values.flatten().to_numpy().astype(float)
-    grades = severity_grades(rows, columns, values, toxic, n_grades)
-    kept = _screened(rows, columns, toxic)
+    held = np.repeat(np.arange(len(toxic)), np.diff(ids.offsets.to_numpy()))
     number = np.cumsum(kept) - 1
-    use = kept[columns]
-    theta, own = fit_ordinal(rows[use], number[columns[use]], values[use], grades, n_grades, max(int(kept.sum()), 1),
-                             shares=np.where(toxic, 1 / rate[True], 1 / rate[False]))
+    theta, own = fit_ordinal(held, number[ids.flatten().to_numpy()], values.flatten().to_numpy().astype(float),
+                             severity_grades(chosen.column("amount").to_numpy(), toxic, n_grades), n_grades, max(int(kept.sum()), 1),
+                             shares=np.where(toxic, stands_for[True], stands_for[False]))
     weights = np.zeros(1 << HASH_BITS)
     weights[kept] = own[:int(kept.sum())]
     return Ordinal(theta, weights)

@@ -35,16 +35,13 @@ def check(spark, rows, monkeypatch, per_range):
     got = fracsketch.compare_documents(docs).collect()
     hashes = {r[0]: r[1] for r in docs.select(F.coalesce("text", F.lit("")).alias("t")).distinct().select("t", F.xxhash64("t")).collect()}
     order = sorted(((k, t or "") for k, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]), reverse=True)
-    want = []
-    texts = {}
+    made = []
     for i, (k, t) in enumerate(order):
         following = order[(i + 1) % len(order)][1]
         half = len(t) // 2
         edited = t[:len(t) - half] + following[:half]
-        want.append((k, len(t), hashlib.sha256(edited.encode()).hexdigest()))
-        texts[want[-1]] = (t, edited, following)
-    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got), key=str) == sorted(want, key=str)
-    needed = sorted({x for three in texts.values() for x in three})
+        made.append((k, t, edited, following))
+    needed = sorted({x for _, *three in made for x in three})
     shingles = {x: [" ".join(split(x)[i:i + 5]) for i in range(max(len(split(x)) - 4, 1))] if split(x) else [] for x in needed}
     flat = spark.createDataFrame([(w,) for w in sorted({w for x in needed for w in split(x)} | {"-"})], "w string")
     h = {r[0]: r[1] for r in flat.select("w", F.xxhash64("w")).collect()}
@@ -55,11 +52,10 @@ def check(spark, rows, monkeypatch, per_range):
     kept = {x: sorted({v for s in ss if (v := combined[tuple(h[w] for w in s.split(" "))]) < most}) for x, ss in shingles.items()}
     like = lambda x, y: (len(set(kept[x]) & set(kept[y])) / len(u) if (u := set(kept[x]) | set(kept[y]))
                          else float(split(x) == split(y)))
-    for r in got:
-        t, edited, following = texts[r["doc_id"], r["n_chars"], r["edited_sha256"]]
-        assert r["fingerprint"] == "".join(f"{v % 2**64:016x}" for v in kept[t])
-        assert r["edited_fingerprint"] == "".join(f"{v % 2**64:016x}" for v in kept[edited])
-        assert abs(r["near_edited"] - like(t, edited)) < 1e-12 and abs(r["near_next"] - like(t, following)) < 1e-12
+    text_of = lambda x: "".join(f"{v % 2**64:016x}" for v in kept[x])
+    want = [(k, len(t), hashlib.sha256(e.encode()).hexdigest(), text_of(t), text_of(e), round(like(t, e), 12), round(like(t, f), 12)) for k, t, e, f in made]
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 12),
+                    round(r["near_next"], 12)) for r in got), key=str) == sorted(want, key=str)
 
 
 def test_one_range(spark, monkeypatch):

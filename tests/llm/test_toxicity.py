@@ -92,3 +92,42 @@ def test_few_labels_still_find_a_feature(spark):
     assert model.weights.any()
     assert min(model.beyond(t.encode())[0] for (_, t), (_, y) in zip(rows, labels, strict=True) if y) > max(
         model.beyond(t.encode())[0] for (_, t), (_, y) in zip(rows, labels, strict=True) if not y)
+
+
+def test_repeated_labelled_rows_and_long_texts_stay_a_bounded_sample(spark):
+    docs = spark.range(4000).selectExpr("id % 2 doc_id", "if(id % 2 = 0, 'calm words only here', 'zzgrob blorgh words') text")
+    docs = docs.unionByName(spark.createDataFrame([(2, "calm " * 100_000), (3, None)], "doc_id long, text string"))
+    known = spark.createDataFrame([(0, False), (1, True), (2, False), (3, False)], "key long, toxic boolean")
+    rows, stands_for = toxicity._sampled(docs, known, "doc_id", "text", 50)
+    assert 20 <= rows.filter("toxic").count() <= 200 and 20 <= rows.filter("NOT toxic").count() <= 200
+    assert stands_for[True] == 20 and 19 < stands_for[False] < 21
+    model = toxicity.fit(docs, known.selectExpr("key doc_id", "int(toxic) toxic"), sample=50)
+    assert model.beyond(b"zzgrob blorgh words")[0] > 0.9 and model.beyond(b"calm words only here")[0] < 0.1
+
+
+def test_screen_keeps_the_highest_features():
+    a, b = np.array([50.0, 40.0, 2.0, 25.0]), np.array([0.0, 10.0, 0.0, 25.0])
+    assert toxicity._screened(a, b, 50, 50, 10).tolist() == [True, True, False, False]
+    assert toxicity._screened(a, b, 50, 50, 1).tolist() == [True, False, False, False]
+
+
+def test_fit_agrees_with_a_plain_gradient_descent():
+    """The likelihood of the accelerated fit against many small plain steps on the same rows."""
+    rng = np.random.default_rng(2)
+    x = rng.random((60, 3)) < 0.5
+    grades = np.searchsorted([0.0, 1.5], x @ np.array([1.5, -1.0, 0.5]) + rng.logistic(size=60))
+    rows, columns = np.nonzero(x)
+    theta, w = toxicity.fit_ordinal(rows, columns, np.ones(len(rows)), grades, 3, 3, penalty=0.0, rounds=4000)
+
+    def loss(t, v):
+        edge = np.concatenate(([-np.inf], t, [np.inf]))
+        z = x @ v
+        p = 1 / (1 + np.exp(z - edge[grades + 1])) - 1 / (1 + np.exp(z - edge[grades]))
+        return -np.log(np.maximum(p, 1e-300)).mean()
+
+    best, point = loss(np.array([-1.0, 1.0]), np.zeros(3)), np.concatenate(([-1.0, 1.0], np.zeros(3)))
+    for _ in range(3000):
+        step = np.array([(loss((point + e)[:2], (point + e)[2:]) - loss((point - e)[:2], (point - e)[2:])) / 2e-5 for e in np.eye(5) * 1e-5])
+        point = point - 0.5 * step
+        best = min(best, loss(point[:2], point[2:]))
+    assert loss(theta, w) < best + 1e-4
