@@ -202,17 +202,22 @@ def align_to_table(df: DataFrame, table_schema: StructType) -> DataFrame:
     return df.select(*cols)
 
 
-LEDGER_SCHEMA = "batch_id string, source string, files array<string>, row_count bigint"
+LEDGER_SCHEMA = "source string, files array<string>, row_count bigint, run string, batch_id string"
 
 
-def ledger_path(raw_path: str) -> str:
-    """Where a RAW table's ledger lives: beside the tables, hidden from their readers."""
+def _beside(raw_path: str, kind: str) -> str:
+    """A folder for a RAW table's records, beside the tables and hidden from their readers."""
     root, table = raw_path.rstrip("/").rsplit("/", 1)
-    return f"{root}/_ledger/{table}"
+    return f"{root}/_{kind}/{table}"
+
+
+def ledger_path(raw_path: str) -> str:
+    """Where a RAW table's ledger lives."""
+    return _beside(raw_path, "ledger")
 
 
 def ledger(spark: SparkSession, raw_path: str, batch_ids: list[str]) -> list:
-    """Ledger rows of the given batches: one per committed (batch, source), with the RAW files it added."""
+    """Ledger rows of the given batches: one per committed (batch, source), with the RAW files it added. Partitioned by batch, so only theirs are read."""
     path = ledger_path(raw_path)
     fs, target = _file_system(spark, path)
     if not batch_ids or not fs.exists(target):
@@ -224,40 +229,77 @@ def _raw_files(spark: SparkSession, raw_path: str, batch_id: str) -> list[str]:
     fs, folder = _file_system(spark, f"{raw_path}/{BATCH_COL}={batch_id}")
     if not fs.exists(folder):
         return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(folder) if st.isFile())
+    return sorted(st.getPath().getName() for st in fs.listStatus(folder) if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
 
 
 def append_sources(df: DataFrame, raw_path: str, sources: dict[str, list[str]]) -> int:
     """Append rows to RAW exactly once and record it. ``sources``: per batch id, what its rows come from.
 
-    The ledger row, with the files the append added, is written after the append has committed. Files
-    of these batches that no ledger row knows are what an interrupted append left; they are removed
-    first, so a replay repairs the batch instead of skipping it. One writer per table.
+    The rows go to a staging folder that no reader sees. An intent then names the files and the names they will have in RAW (the run's id is part of them), the
+    files are moved, and the ledger rows close the run. An append that was interrupted before its intent has left nothing in RAW; one interrupted after it
+    is finished by the next append (``finish_interrupted``). Files of RAW that no run wrote are never touched. One writer per table.
     Returns the rows appended.
     """
     spark = df.sparkSession
-    known = ledger(spark, raw_path, sorted(sources))
-    for batch_id in sources:
-        committed = {f for r in known if r["batch_id"] == batch_id for f in r["files"]}
-        for name in _raw_files(spark, raw_path, batch_id):
-            if name not in committed:
-                fs, left = _file_system(spark, f"{raw_path}/{BATCH_COL}={batch_id}/{name}")
-                fs.delete(left, False)
+    finish_interrupted(spark, raw_path)
     if _has_rows(spark, raw_path):
         table_schema = spark.read.parquet(raw_path).schema
         fields = [f for f in table_schema.fields if f.name != BATCH_COL]
         df = align_to_table(df, StructType([*fields, StructField(BATCH_COL, StringType())]))
-    before = {b: set(_raw_files(spark, raw_path, b)) for b in sources}
-    obs = Observation(f"appended_{uuid.uuid4().hex}")
+    run = uuid.uuid4().hex
+    obs = Observation(f"appended_{run}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("append").partitionBy(BATCH_COL).option("compression", "snappy").parquet(raw_path)
+    staging = f"{_beside(raw_path, 'staging')}/{run}"
+    observed.write.partitionBy(BATCH_COL).option("compression", "snappy").parquet(staging)
     rows = int(obs.get["rows"])
-    entries = [(b, s, sorted(set(_raw_files(spark, raw_path, b)) - before[b]) if i == 0 else [], rows if i == 0 else 0)
+    entries = [(s, _raw_files(spark, staging, b) if i == 0 else [], rows if i == 0 else 0, run, b)
                for b, names in sorted(sources.items()) for i, s in enumerate(sorted(names))]
-    spark.createDataFrame(entries, LEDGER_SCHEMA).coalesce(1).write.mode("append").json(ledger_path(raw_path))
+    spark.createDataFrame(entries, LEDGER_SCHEMA).coalesce(1).write.json(f"{_beside(raw_path, 'intents')}/{run}")
+    _close_run(spark, raw_path, run, entries)
     return rows
 
 
+def _close_run(spark: SparkSession, raw_path: str, run: str, entries: list[tuple]) -> None:
+    """Move a run's staged files into RAW, then write its ledger rows, then drop its intent; may be repeated at any point."""
+    staging, intent = f"{_beside(raw_path, 'staging')}/{run}", f"{_beside(raw_path, 'intents')}/{run}"
+    for _, files, _, _, batch_id in entries:
+        for name in files:
+            fs, staged = _file_system(spark, f"{staging}/{BATCH_COL}={batch_id}/{name}")
+            _, target = _file_system(spark, f"{raw_path}/{BATCH_COL}={batch_id}/{run}-{name}")
+            fs.mkdirs(target.getParent())
+            if not fs.exists(target) and not fs.rename(staged, target):
+                raise RuntimeError(f"could not move {staged} into RAW")
+    named = [(s, [f"{run}-{f}" for f in files], n, r, b) for s, files, n, r, b in entries]
+    spark.createDataFrame(named, LEDGER_SCHEMA).coalesce(1).write.mode("append").partitionBy("batch_id").json(ledger_path(raw_path))
+    for folder in (intent, staging):
+        fs, path = _file_system(spark, folder)
+        fs.delete(path, True)
+
+
+def finish_interrupted(spark: SparkSession, raw_path: str) -> int:
+    """Finish the appends that stopped between their intent and its removal; returns how many."""
+    fs, folder = _file_system(spark, _beside(raw_path, "intents"))
+    runs = [st.getPath().getName() for st in fs.listStatus(folder)] if fs.exists(folder) else []
+    runs = [r for r in runs if fs.exists(_file_system(spark, f"{folder}/{r}/_SUCCESS")[1])]  # an unfinished intent names nothing
+    for run in runs:
+        entries = [tuple(r) for r in spark.read.schema(LEDGER_SCHEMA).json(f"{folder}/{run}").collect()]
+        done = {r["run"] for r in ledger(spark, raw_path, sorted({e[4] for e in entries}))}
+        if run in done:
+            fs.delete(_file_system(spark, f"{folder}/{run}")[1], True)
+        else:
+            _close_run(spark, raw_path, run, entries)
+    return len(runs)
+
+
+def content_digests(df: DataFrame, batch_col: str) -> dict[str, str]:
+    """Per batch a digest of its rows that knows neither row order nor the order and case of column names."""
+    by_upper = {c.upper(): c for c in df.columns}
+    texts = [F.coalesce(F.col(by_upper[c]).cast("string"), F.lit("\0")) for c in sorted(by_upper)]
+    sums = [F.sum(F.xxhash64(F.lit(seed), F.lit(",".join(sorted(by_upper))), *texts).cast("decimal(38,0)")).alias(f"h{seed}") for seed in (1, 2)]
+    rows = df.groupBy(F.col(batch_col).alias("b")).agg(F.count(F.lit(1)).alias("n"), *sums).collect()  # one row per batch
+    return {r["b"]: f"content:{r['n']}:{r['h1']}:{r['h2']}" for r in rows}
+
+
 def _has_rows(spark: SparkSession, raw_path: str) -> bool:
     """Whether the RAW table has been created (some batch partition holds a file)."""
     fs, target = _file_system(spark, raw_path)
@@ -267,20 +309,25 @@ def _has_rows(spark: SparkSession, raw_path: str) -> bool:
         and any(f.isFile() for f in fs.listStatus(st.getPath())) for st in fs.listStatus(target))
 
 
-def append_new_batches(spark: SparkSession, df: DataFrame, raw_root: str, table: str, source: str = "batch") -> int:
+def append_new_batches(spark: SparkSession, df: DataFrame, raw_root: str, table: str, source: str | None = None) -> int:
     """Idempotent append of a stamped extract: the first load creates the table
-    from the arriving schema; later loads are aligned by name to that fixed schema. A
-    (batch, ``source``) pair the ledger holds is skipped; further rows of a landed batch
-    come under another source name. Returns the rows appended (0 when everything was loaded before).
+    from the arriving schema; later loads are aligned by name to that fixed schema.
+
+    Without a ``source`` the rows' content names it: the same rows of a batch again are skipped, other rows of a landed batch
+    are appended. With one, a (batch, ``source``) pair the ledger holds is skipped. Returns the rows appended.
     """
     path = f"{raw_root}/{table}"
-    by_upper = {c.upper(): c for c in df.columns}
-    ids = [r[0] for r in df.select(F.col(by_upper[BATCH_COL])).distinct().collect()]  # one value per batch
-    done = {r["batch_id"] for r in ledger(spark, path, ids) if r["source"] == source}
-    new = [b for b in ids if b not in done]
+    batch_col = {c.upper(): c for c in df.columns}[BATCH_COL]
+    if source is None:
+        named = content_digests(df, batch_col)
+    else:
+        named = {r[0]: source for r in df.select(batch_col).distinct().collect()}  # one value per batch
+    finish_interrupted(spark, path)
+    done = {(r["batch_id"], r["source"]) for r in ledger(spark, path, sorted(named))}
+    new = {b: [s] for b, s in named.items() if (b, s) not in done}
     if not new:
         return 0
-    return append_sources(df.filter(F.col(by_upper[BATCH_COL]).isin(new)), path, {b: [source] for b in new})
+    return append_sources(df.filter(F.col(batch_col).isin(sorted(new))), path, new)
 
 
 def assert_loadable(status: DataFrame, batch_id: str) -> None:
@@ -289,8 +336,8 @@ def assert_loadable(status: DataFrame, batch_id: str) -> None:
     require_batch_id(batch_id)
     row = status.filter(F.col("batch_id") == batch_id).first()
     if row is None:
-        raise ValueError(f"batch {batch_id} contains no tables")
+        raise ValueError(f"nothing has landed under {batch_id}")
     if row["unknown_tables"]:
-        raise ValueError(f"unexpected tables in batch {batch_id}")
+        raise ValueError(f"{batch_id} holds {row['unknown_tables']} tables that are not expected")
     if not row["is_complete"]:
-        raise ValueError(f"batch {batch_id} is incomplete")
+        raise ValueError(f"{batch_id} lacks a table, or one is empty")

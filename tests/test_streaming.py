@@ -5,6 +5,7 @@ import tempfile
 
 import pytest
 
+from martlet.sources import landing
 from martlet.sources.landing import stamp_batch
 from martlet.streaming import landing_stream
 
@@ -59,17 +60,83 @@ def test_late_files_of_a_landed_batch_are_appended(spark):
     assert len(_contents(spark, f"{raw}/t")) == 17
 
 
-def test_interrupted_append_is_repaired(spark):
+@pytest.mark.parametrize("at", ["before the ledger", "half of the files moved", "before the intent"])
+def test_interrupted_append_is_finished(spark, monkeypatch, at):
     raw = f"{tempfile.mkdtemp(prefix='martlet-half-')}/t"
-    whole = _batch(spark, "20260101T000000Z", 10)
-    # what an interrupted commit leaves: some rows in the partition folder and no ledger row
-    whole.limit(4).write.partitionBy("_BATCH_ID").parquet(raw)
-    assert landing_stream.append_micro_batch(whole, raw) == 10
+    whole = _batch(spark, "20260101T000000Z", 10).repartition(3)
+    close, moved = landing._close_run, []
+
+    def stop(spark, path, run, entries):
+        if at != "before the intent":
+            for _, files, _, _, b in entries[:1]:
+                for name in files[:len(files) if at == "before the ledger" else 1]:
+                    fs, one = landing._file_system(spark, f"{landing._beside(path, 'staging')}/{run}/_BATCH_ID={b}/{name}")
+                    _, two = landing._file_system(spark, f"{path}/_BATCH_ID={b}/{run}-{name}")
+                    fs.mkdirs(two.getParent())
+                    moved.append(fs.rename(one, two))
+        else:
+            fs, intent = landing._file_system(spark, f"{landing._beside(path, 'intents')}/{run}")
+            fs.delete(intent, True)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(landing, "_close_run", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        landing_stream.append_micro_batch(whole, raw)
+    monkeypatch.setattr(landing, "_close_run", close)
+    finished = at != "before the intent"
+    assert landing_stream.append_micro_batch(whole, raw) == (0 if finished else 10)
     assert landing_stream.append_micro_batch(whole, raw) == 0
-    assert _contents(spark, raw) == [("20260101T000000Z", i, f"s{i}") for i in range(10)]
+    assert _contents(spark, raw) == [("20260101T000000Z", i, f"s{i}") for i in range(10)] and all(moved)
 
 
-def test_older_files_load_and_unmarked_folders_are_refused(spark):
+def test_rows_of_a_store_without_ledger_stay(spark):
+    root = tempfile.mkdtemp(prefix="martlet-ledgerless-")
+    landing.append_raw(_batch(spark, "20260101T000000Z", 10), root, "t")
+    more = stamp_batch(spark.createDataFrame([(i, "new") for i in range(20, 23)], "id long, status string"), "20260101T000000Z", "2026-01-01 00:00:00")
+    assert landing.append_new_batches(spark, more, root, "t") == 3
+    assert landing.append_new_batches(spark, more, root, "t") == 0
+    assert [r[1] for r in _contents(spark, f"{root}/t")] == [*range(10), 20, 21, 22]
+
+
+def test_late_rows_under_the_default_source_are_appended(spark):
+    root = tempfile.mkdtemp(prefix="martlet-late-rows-")
+    first = _batch(spark, "20260101T000000Z", 4)
+    late = stamp_batch(spark.createDataFrame([("late", 9)], "STATUS string, id long"), "20260101T000000Z", "2026-01-01 00:00:00")
+    assert [landing.append_new_batches(spark, x, root, "t") for x in (first, late, first.repartition(3), late)] == [4, 1, 0, 0]
+    assert len(_contents(spark, f"{root}/t")) == 5
+
+
+def test_a_second_folder_of_a_batch_is_loaded_unless_it_repeats_the_first(spark):
+    root = tempfile.mkdtemp(prefix="martlet-second-")
+    zone, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/ckpt"
+    first = _batch(spark, "20260101T000000Z", 6)
+    schemas = {"t": first.schema}
+    landing_stream.land_files(first, zone, "t", "20260101T000000Z")
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (6, 6)}
+    more = stamp_batch(spark.createDataFrame([(i, "more") for i in range(50, 53)], "id long, status string"), "20260101T000000Z", "2026-01-01 00:00:00")
+    landing_stream.land_files(more, zone, "t", "20260101T000000Z-more")
+    landing_stream.land_files(first.repartition(2), zone, "t", "20260101T000000Z-again")
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (9, 3)}
+    assert landing_stream.run_landing(spark, zone, raw, schemas, f"{ckpt}-lost") == {"t": (15, 0)}
+    assert len(_contents(spark, f"{raw}/t")) == 9
+
+
+def test_batch_marker_gates_the_stream(spark):
+    root = tempfile.mkdtemp(prefix="martlet-gate-")
+    zone, raw, ckpt, marks = f"{root}/landing", f"{root}/raw", f"{root}/ckpt", f"{root}/batches"
+    schemas = {"t": _batch(spark, "20260101T000000Z", 1).schema}
+    for k, b in enumerate(("20260101T000000Z", "20260201T000000Z")):
+        landing_stream.land_files(_batch(spark, b, 2 + k), zone, "t", b)
+    spark.range(1).write.json(f"{marks}/20260201T000000Z")
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt, marks) == {"t": (5, 3)}
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt, marks) == {"t": (0, 0)}
+    spark.range(1).write.json(f"{marks}/20260101T000000Z")
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt, marks) == {"t": (2, 2)}
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt, marks) == {"t": (0, 0)}
+    assert len(_contents(spark, f"{raw}/t")) == 5
+
+
+def test_older_files_load_and_unmarked_folders_wait(spark):
     root = tempfile.mkdtemp(prefix="martlet-old-")
     zone, raw, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/ckpt"
     new = _batch(spark, "20260201T000000Z", 3)
@@ -82,9 +149,9 @@ def test_older_files_load_and_unmarked_folders_are_refused(spark):
         os.utime(f"{folder}/{name}", (1_600_000_000, 1_600_000_000))     # years older than the landed batch
     marker = f"{folder}/_SUCCESS"
     os.remove(marker)
-    with pytest.raises(Exception, match="completion marker"):
-        landing_stream.run_landing(spark, zone, raw, schemas, ckpt)
-    assert len(_contents(spark, f"{raw}/t")) == 3
+    landing_stream.land_files(_batch(spark, "20260301T000000Z", 1), zone, "t", "20260301T000000Z")   # marked, beside the unmarked one
+    assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (3, 1)}
+    assert len(_contents(spark, f"{raw}/t")) == 4
     open(marker, "w").close()
     assert landing_stream.run_landing(spark, zone, raw, schemas, ckpt) == {"t": (2, 2)}
-    assert len(_contents(spark, f"{raw}/t")) == 5
+    assert len(_contents(spark, f"{raw}/t")) == 6
