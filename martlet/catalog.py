@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampType
 
 from martlet.config import TABLES
 from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id
-from martlet.operators import checks, export, profile, reconcile
+from martlet.operators import checks, export, history, profile, reconcile, sessions
 from martlet.plans import marts
 from martlet.plans.batch_build import Build, build, materialize
 from martlet.plans.staging import select_batch, stg_events
@@ -460,3 +460,66 @@ def q_land_aligned_append(spark, sf_dir):
     both = [utc_wall_clock(read_raw_like(spark, f"{work}/{path}/orders", first.schema)).select(F.lit(path).alias("load_path"), "*")
             for path in ("batch", "stream")]
     return both[0].unionByName(both[1])
+
+
+# --- event sessions ------------------------------------------------------------------
+
+
+def _sessions(spark, sf_dir):
+    events = clean_build(spark, sf_dir).staged["stg_events"].select("event_id", "customer_id", "created_at", "event_type")
+    return sessions.event_sessions(events)
+
+
+@register("event_sessions")
+def q_event_sessions(spark, sf_dir):
+    """Every event with its session; anonymous events are one long sequence."""
+    configure(spark)
+    return _sessions(spark, sf_dir).drop("event_type")
+
+
+@register("session_summary")
+def q_session_summary(spark, sf_dir):
+    configure(spark)
+    return sessions.session_summary(_sessions(spark, sf_dir))
+
+
+# --- history over batches ---------------------------------------------------------------
+
+HISTORY_BATCHES = ((SELECTED_BATCH, "2026-01-01 00:00:00"), (SECOND_BATCH, "2026-02-01 00:00:00"), ("20260301T000000Z", "2026-03-01 00:00:00"))
+
+
+def _user_snapshots(spark, sf_dir):
+    """Three extracts: all users; those not divisible by 3, some moved or a year older; all again, some back where they were, some without a city."""
+    users = extract(spark, sf_dir, "users").select(F.col("id").alias("customer_id"), "state", "city", "age")
+    key = F.col("customer_id")
+    second = users.filter(key % 3 != 0).select("customer_id", F.when(key % 5 == 1, "Moved").otherwise(F.col("state")).alias("state"), "city",
+                                               (F.col("age") + F.when(key % 4 == 2, 1).otherwise(0)).alias("age"))
+    third = users.select("customer_id", F.when(key % 10 == 1, "Moved").otherwise(F.col("state")).alias("state"),
+                         F.when(key % 8 != 5, F.col("city")).alias("city"), "age")
+    return [users, second, third]
+
+
+def _product_snapshots(spark, sf_dir):
+    """Three extracts: all products; those not divisible by 3, some at twice the price; all again, some without a brand."""
+    products = extract(spark, sf_dir, "products").select(F.col("id").alias("product_id"), "brand", "retail_price")
+    key = F.col("product_id")
+    price = lambda n, k: F.col("retail_price") * F.when(key % n == k, 2.0).otherwise(1.0)
+    second = products.filter(key % 3 != 0).select("product_id", "brand", price(7, 2).alias("retail_price"))
+    third = products.select("product_id", F.when(key % 11 != 4, F.col("brand")).alias("brand"), price(14, 2).alias("retail_price"))
+    return [products, second, third]
+
+
+def _history(name: str, key: str, snapshots) -> QueryFn:
+    def q(spark, sf_dir):
+        configure(spark)
+        root, out = work_dir(spark, name), None
+        steps = list(zip(snapshots(spark, sf_dir), HISTORY_BATCHES, strict=True))
+        for snapshot, (batch, at) in [steps[0], steps[1], steps[1], steps[2], steps[0]]:  # batches come again
+            out = history.apply_snapshot(snapshot, root, key, batch, F.lit(at).cast("timestamp_ntz"))
+        return out
+    q.__name__ = f"q_{name}"
+    return q
+
+
+register("history_users")(_history("history_users", "customer_id", _user_snapshots))
+register("history_products")(_history("history_products", "product_id", _product_snapshots))
