@@ -19,7 +19,7 @@ from pyspark.sql.types import TimestampType
 from martlet.config import TABLES
 from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id
 from martlet.operators import checks, export, history, profile, reconcile, sessions
-from martlet.plans import marts
+from martlet.plans import incremental, marts
 from martlet.plans.batch_build import Build, build, materialize
 from martlet.plans.staging import select_batch, stg_events
 from martlet.session import configure, work_dir
@@ -523,3 +523,84 @@ def _history(name: str, key: str, snapshots) -> QueryFn:
 
 register("history_users")(_history("history_users", "customer_id", _user_snapshots))
 register("history_products")(_history("history_products", "product_id", _product_snapshots))
+
+
+# --- incremental fact and mart ------------------------------------------------------------
+
+_INCREMENTAL: dict[tuple, tuple] = {}
+
+
+def _incremental(spark, sf_dir):
+    """Three batches of changed rows, two of them applied again: the whole extract; orders three days later, cancelled items, dearer units;
+    items that move to an unknown order (a day of their own, without a date)."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, _sources(spark, sf_dir), "incremental")
+    with _LOCK:
+        if key not in _INCREMENTAL:
+            _INCREMENTAL[key] = _incremental_run(spark, sf_dir)
+        return _INCREMENTAL[key]
+
+
+def _incremental_run(spark, sf_dir):
+    first = clean_build(spark, sf_dir).staged
+    models = ("stg_order_items", "stg_orders", "stg_inventory_items")
+    batch = lambda df, k: df.withColumn("source_batch_id", F.lit(HISTORY_BATCHES[k][0]))
+    items = first["stg_order_items"]
+    cancelled = F.when(F.col("order_item_id") % 7 == 2, "cancelled").otherwise(F.col("order_item_status"))
+    steps = [{m: first[m] for m in models},
+             {"stg_order_items": batch(items.filter("order_item_id % 7 = 2").withColumn("order_item_status", cancelled), 1),
+              "stg_orders": batch(first["stg_orders"].filter("order_id % 5 = 1").withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 3 DAYS")), 1),
+              "stg_inventory_items": batch(first["stg_inventory_items"].filter("inventory_item_id % 11 = 3").withColumn("cost", F.col("cost") * 2.0), 1)},
+             {"stg_order_items": batch(items.filter("order_item_id % 13 = 4").withColumn("order_item_status", cancelled).withColumn("order_id", F.lit(-1).cast("bigint")), 2)}]
+    root, upto = work_dir(spark, "incremental"), {}
+    for k in (0, 1, 1, 2, 0):
+        for m, df in steps[k].items() if HISTORY_BATCHES[k][0] not in upto.get("seen", ()) else ():
+            upto[m] = upto[m].unionByName(df) if m in upto else df
+        upto["seen"] = (*upto.get("seen", ()), HISTORY_BATCHES[k][0])
+        incremental.apply_batch(spark, root, {m: upto[m] for m in models}, HISTORY_BATCHES[k][0])
+    return root, incremental.full_build({m: upto[m] for m in models})
+
+
+@register("incremental_fact")
+def q_incremental_fact(spark, sf_dir):
+    root, (fact, _) = _incremental(spark, sf_dir)
+    return incremental.read_table(spark, f"{root}/fct_order_items", fact)
+
+
+@register("incremental_mart")
+def q_incremental_mart(spark, sf_dir):
+    root, (_, mart) = _incremental(spark, sf_dir)
+    return incremental.read_table(spark, f"{root}/mart_daily_sales", mart)
+
+
+# --- late deliveries -----------------------------------------------------------------------
+
+@register("land_late_deliveries")
+def q_land_late_deliveries(spark, sf_dir):
+    """RAW contents of one batch of orders that comes in two parts, by four ways: into a store without a ledger, as late rows, in a second
+    folder, and in a folder that is marked only after a first pass. Every way the first part comes again."""
+    configure(spark)
+    work = work_dir(spark, "late-deliveries")
+    whole = _stamped(spark, sf_dir, "orders", SELECTED_BATCH)
+    even, odd = whole.filter("ORDER_ID % 2 = 0"), whole.filter("ORDER_ID % 2 = 1")
+    landing.append_raw(even, f"{work}/no ledger", "orders")
+    for rows in (odd, odd):
+        landing.append_new_batches(spark, rows, f"{work}/no ledger", "orders")
+    for rows in (even, odd, even):
+        landing.append_new_batches(spark, rows, f"{work}/late rows", "orders")
+    for path, marked in (("second folder", True), ("waiting folder", False)):
+        zone, marks = f"{work}/{path}-landing", f"{work}/{path}-marks"
+        run = lambda: landing_stream.run_landing(spark, zone, f"{work}/{path}", {"orders": whole.schema}, f"{work}/{path}-checkpoints", marks)  # noqa: B023, E731
+        landing_stream.land_files(even, zone, "orders", SELECTED_BATCH)
+        if marked:
+            spark.range(1).write.json(f"{marks}/{SELECTED_BATCH}")
+        run()
+        landing_stream.land_files(odd, zone, "orders", f"{SELECTED_BATCH}-more")
+        landing_stream.land_files(even, zone, "orders", f"{SELECTED_BATCH}-again")
+        run()
+        if not marked:
+            spark.range(1).write.json(f"{marks}/{SELECTED_BATCH}")
+        run()
+    parts = [utc_wall_clock(read_raw_like(spark, f"{work}/{path}/orders", whole.schema)).select(F.lit(path).alias("load_path"), "*")
+             for path in ("no ledger", "late rows", "second folder", "waiting folder")]
+    return checks.union_all(parts)

@@ -45,6 +45,11 @@ def fct_order_items(stg_order_items: DataFrame, stg_orders: DataFrame,
     joined = (stg_order_items
               .join(orders, ["order_id", "source_batch_id"], "left")
               .join(inventory, ["inventory_item_id", "source_batch_id"], "left"))
+    return fact_columns(joined)
+
+
+def fact_columns(joined: DataFrame) -> DataFrame:
+    """The fact's columns from order items with their order's instant and inventory cost."""
     status = F.col("order_item_status")
     item_amount = money("sale_price")
     unit_cost = money("inventory_cost")

@@ -20,6 +20,7 @@ redelivery: its files are put on record without rows. An append that was interru
 from __future__ import annotations
 
 import hashlib
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,8 @@ SOURCE_FILE = "_SOURCE_FILE"
 
 
 def _folder(name: str) -> str:
-    return name.rsplit("/", 1)[0]
+    """A file's folder; ``_metadata.file_path`` has its name percent-encoded."""
+    return unquote(name.rsplit("/", 1)[0])
 
 
 def _ready(spark: SparkSession, folder: str, batch_id: str, batch_markers: str | None) -> bool:
