@@ -340,4 +340,4 @@ def assert_loadable(status: DataFrame, batch_id: str) -> None:
     if row["unknown_tables"]:
         raise ValueError(f"{batch_id} holds {row['unknown_tables']} tables that are not expected")
     if not row["is_complete"]:
-        raise ValueError(f"{batch_id} lacks a table, or one is empty")
+        raise ValueError(f"{batch_id} is incomplete: a table is absent or empty")
