@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampType
 
 from martlet.config import TABLES
 from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id
-from martlet.operators import checks, export, history, profile, reconcile, sessions
+from martlet.operators import checks, export, history, profile, reconcile, sessions, spine
 from martlet.plans import incremental, marts
 from martlet.plans.batch_build import Build, build, materialize
 from martlet.plans.staging import select_batch, stg_events
@@ -483,6 +483,25 @@ def q_session_summary(spark, sf_dir):
     return sessions.session_summary(_sessions(spark, sf_dir))
 
 
+# --- day axis with running totals --------------------------------------------------------
+
+
+@register("daily_running_totals")
+def q_daily_running_totals(spark, sf_dir):
+    """The daily mart on a gapless day axis, with running, month-to-date and week-over-week totals."""
+    configure(spark)
+    return spine.running_totals(built_tables(spark, sf_dir).mart_daily_sales, ["source_batch_id"], "order_date",
+                                ["order_count", "item_count", "ordered_item_amount", "completed_gross_margin_amount"])
+
+
+@register("status_running_totals")
+def q_status_running_totals(spark, sf_dir):
+    """Items and money of each item status by day, straight from the fact's rows; a few statuses hold all rows."""
+    configure(spark)
+    return spine.running_totals(built_tables(spark, sf_dir).fct_order_items, ["order_item_status"], "order_date",
+                                ["item_quantity", "item_amount"], period_days=28)
+
+
 # --- history over batches ---------------------------------------------------------------
 
 HISTORY_BATCHES = ((SELECTED_BATCH, "2026-01-01 00:00:00"), (SECOND_BATCH, "2026-02-01 00:00:00"), ("20260301T000000Z", "2026-03-01 00:00:00"))
