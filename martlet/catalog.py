@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampType
 
 from martlet.config import TABLES
 from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id
-from martlet.operators import checks, export, history, profile, reconcile, sessions, spine
+from martlet.operators import asof, checks, export, history, profile, reconcile, sessions, spine
 from martlet.plans import incremental, marts
 from martlet.plans.batch_build import Build, build, materialize
 from martlet.plans.staging import select_batch, stg_events
@@ -544,6 +544,29 @@ register("history_users")(_history("history_users", "customer_id", _user_snapsho
 register("history_products")(_history("history_products", "product_id", _product_snapshots))
 
 
+# --- as-of join -----------------------------------------------------------------------------
+
+
+@register("asof_last_purchase")
+def q_asof_last_purchase(spark, sf_dir):
+    """Every event with its customer's last purchase until then; anonymous events have none."""
+    configure(spark)
+    events = clean_build(spark, sf_dir).staged["stg_events"].select("event_id", "customer_id", "event_type", "created_at")
+    return asof.as_of_join(events, events.filter(F.col("event_type") == "purchase"), key="customer_id", instant="created_at", version_key="customer_id",
+                           valid_from="created_at", values={"event_id": "purchase_event_id", "created_at": "purchased_at"})
+
+
+@register("asof_product_version")
+def q_asof_product_version(spark, sf_dir):
+    """Every order item with its product's version of then; the history is moved back 28 years, into the time of the items."""
+    configure(spark)
+    past = lambda c: F.expr(f"{c} - INTERVAL 28 YEARS").alias(c)
+    products = REGISTRY["history_products"](spark, sf_dir).select("product_id", "brand", "retail_price", "from_batch", past("valid_from"), past("valid_to"))
+    items = clean_build(spark, sf_dir).staged["stg_order_items"].select("order_item_id", "product_id", "created_at", "sale_price")
+    return asof.as_of_join(items, products, key="product_id", instant="created_at", version_key="product_id", valid_from="valid_from", valid_to="valid_to",
+                           values={"brand": "brand", "retail_price": "list_price", "from_batch": "version_batch"})
+
+
 # --- incremental fact and mart ------------------------------------------------------------
 
 _INCREMENTAL: dict[tuple, tuple] = {}
