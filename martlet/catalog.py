@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampType
 
 from martlet.config import TABLES
 from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id
-from martlet.operators import asof, checks, export, history, profile, reconcile, sessions, spine
+from martlet.operators import asof, checks, cubes, export, history, profile, reconcile, sessions, spine
 from martlet.plans import incremental, marts
 from martlet.plans.batch_build import Build, build, materialize
 from martlet.plans.staging import select_batch, stg_events
@@ -567,6 +567,20 @@ def q_asof_product_version(spark, sf_dir):
                            values={"brand": "brand", "retail_price": "list_price", "from_batch": "version_batch"})
 
 
+# --- cube with exact distinct counts -------------------------------------------------------------
+
+
+@register("sales_cube")
+def q_sales_cube(spark, sf_dir):
+    """Items, distinct customers, orders and products, and money, of every combination of status, year and month."""
+    configure(spark)
+    fact = built_tables(spark, sf_dir).fct_order_items.select(
+        "order_item_status", F.year("order_date").cast("long").alias("order_year"), F.month("order_date").cast("long").alias("order_month"), "customer_id", "order_id", "product_id",
+        "item_amount")
+    return cubes.sales_cube(fact, ["order_item_status", "order_year", "order_month"],
+                            {"customer_id": "customer_count", "order_id": "order_count", "product_id": "product_count"}, {"item_amount": "ordered_item_amount"})
+
+
 # --- incremental fact and mart ------------------------------------------------------------
 
 _INCREMENTAL: dict[tuple, tuple] = {}
