@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampType
 
 from martlet.config import TABLES
 from martlet.functions.batch_ids import batch_id_from_ts, is_valid_batch_id
-from martlet.operators import asof, checks, cubes, export, history, profile, reconcile, sessions, spine
+from martlet.operators import asof, checks, cubes, export, funnel, history, profile, reconcile, sessions, sketches, spine, topk
 from martlet.plans import incremental, marts
 from martlet.plans.batch_build import Build, build, materialize
 from martlet.plans.staging import select_batch, stg_events
@@ -581,6 +581,71 @@ def q_sales_cube(spark, sf_dir):
                             {"customer_id": "customer_count", "order_id": "order_count", "product_id": "product_count"}, {"item_amount": "ordered_item_amount"})
 
 
+# --- ordered funnel ---------------------------------------------------------------------------
+
+FUNNEL_STEPS = ["signup", "view", "click", "purchase"]
+FUNNEL_SECONDS = 5 * 86400
+
+
+def _funnel(spark, sf_dir):
+    configure(spark)
+    events = clean_build(spark, sf_dir).staged["stg_events"].select("event_id", "customer_id", "created_at", "event_type")
+    return funnel.funnel_progress(events, FUNNEL_STEPS, limit_seconds=FUNNEL_SECONDS, keys=["customer_id"])
+
+
+@register("funnel_events")
+def q_funnel_events(spark, sf_dir):
+    """Every event with the furthest step that it reaches within five days of a sign-up; anonymous events are one long sequence."""
+    return _funnel(spark, sf_dir)
+
+
+@register("funnel_customers")
+def q_funnel_customers(spark, sf_dir):
+    return funnel.funnel_by_key(_funnel(spark, sf_dir), ["customer_id"], len(FUNNEL_STEPS))
+
+
+@register("funnel_report")
+def q_funnel_report(spark, sf_dir):
+    return funnel.funnel_report(funnel.funnel_by_key(_funnel(spark, sf_dir), ["customer_id"], len(FUNNEL_STEPS)), FUNNEL_STEPS)
+
+
+# --- top k per group ----------------------------------------------------------------------------
+
+
+@register("top_products_by_day")
+def q_top_products_by_day(spark, sf_dir):
+    """The three products of each category and day that sold for most."""
+    configure(spark)
+    b = built_tables(spark, sf_dir)
+    products = b.dim_products.select("product_id", "category")
+    sold = (b.fct_order_items.join(products, "product_id").groupBy("category", "order_date", "product_id")
+            .agg(F.sum("item_amount").cast("decimal(38,4)").alias("ordered_item_amount"), F.count(F.lit(1)).alias("item_count")))
+    return topk.top_k(sold, ["category", "order_date"], {"ordered_item_amount": True, "product_id": False}, 3)
+
+
+@register("top_items_by_status")
+def q_top_items_by_status(spark, sf_dir):
+    """The dearest items of each status, to the tenth place and with all ties; a few statuses hold all rows."""
+    configure(spark)
+    items = built_tables(spark, sf_dir).fct_order_items.select("order_item_status", "order_item_id", F.round("item_amount", -3).alias("rounded_amount"))
+    return topk.top_k(items, ["order_item_status"], {"rounded_amount": True}, 10, ties=True)
+
+
+# --- stored sketches ------------------------------------------------------------------------------
+
+
+@register("sketch_bounds")
+def q_sketch_bounds(spark, sf_dir):
+    """Distinct customers and quantiles of amounts by month, from a stored table of daily sketches: exact count, and whether each estimate keeps its bound."""
+    configure(spark)
+    fact = built_tables(spark, sf_dir).fct_order_items.select("order_date", F.trunc("order_date", "month").alias("order_month"), "customer_id",
+                                                              F.col("item_amount").cast("double").alias("amount"))
+    stored = f"{work_dir(spark, 'sketches')}/by_day"
+    sketches.daily_sketches(fact, ["order_date", "order_month"], ["customer_id"], ["amount"]).write.parquet(stored)
+    by_month = sketches.merged(spark.read.parquet(stored), ["order_month"], ["customer_id"], ["amount"])
+    return sketches.measured(fact, sketches.estimates(by_month, ["order_month"], ["customer_id"], ["amount"]), "order_month", "customer_id", "amount")
+
+
 # --- incremental fact and mart ------------------------------------------------------------
 
 _INCREMENTAL: dict[tuple, tuple] = {}
