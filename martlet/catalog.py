@@ -27,7 +27,7 @@ from martlet.sources import faults, landing
 from martlet.sources.driver_tables import (EXTRACTED_AT, SECOND_BATCH, SELECTED_BATCH, SOURCE_KEYS, SOURCE_TABLE,
                                            extract, raw_tables)
 from martlet.sources.raw_store import land_raw, read_raw_like
-from martlet.streaming import landing_stream
+from martlet.streaming import event_windows, landing_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -581,6 +581,43 @@ def q_sales_cube(spark, sf_dir):
                             {"customer_id": "customer_count", "order_id": "order_count", "product_id": "product_count"}, {"item_amount": "ordered_item_amount"})
 
 
+# --- event-time windows ---------------------------------------------------------------------------
+
+WINDOWS = {"instant": "CREATED_AT", "keys": ["EVENT_TYPE"], "width": "6 hours"}
+WINDOW_DELAY = "12 hours"
+
+
+def _event_windows(spark, sf_dir):
+    """Four passes, each a restart, over events that come by eight-day slices; some come one or two slices late."""
+    configure(spark)
+    work = work_dir(spark, "event-windows")
+    events = _stamped(spark, sf_dir, "events", SELECTED_BATCH).select("ID", "CREATED_AT", "EVENT_TYPE")
+    late = F.when(F.col("ID") % 50 == 7, 1).when(F.col("ID") % 211 == 5, 2).otherwise(0)
+    arrives = F.least(F.lit(3), F.expr("datediff(CREATED_AT, DATE'2024-01-01') div 8") + late)
+    sliced = events.withColumn("arrives", arrives)
+    for k in range(4):
+        sliced.filter(F.col("arrives") == k).drop("arrives").write.parquet(f"{work}/landing/{k}")
+        event_windows.run_pass(spark, f"{work}/landing", events.schema, f"{work}/windows", f"{work}/checkpoint", delay=WINDOW_DELAY, **WINDOWS)
+    return spark.read.schema(events.schema).parquet(f"{work}/landing/*"), event_windows.closed_windows(spark, f"{work}/windows", events.schema, **WINDOWS)
+
+
+def _lower_names(df):
+    return utc_wall_clock(df).select(*[F.col(c).alias(c.lower()) for c in df.columns])
+
+
+@register("event_windows")
+def q_event_windows(spark, sf_dir):
+    """Events per type and six hours, of the windows that the watermark has closed."""
+    return _lower_names(_event_windows(spark, sf_dir)[1])
+
+
+@register("event_windows_late")
+def q_event_windows_late(spark, sf_dir):
+    """Closed windows that events came too late for, and how many."""
+    delivered, closed = _event_windows(spark, sf_dir)
+    return _lower_names(event_windows.late_rows(delivered, closed, delay=WINDOW_DELAY, **WINDOWS))
+
+
 # --- ordered funnel ---------------------------------------------------------------------------
 
 FUNNEL_STEPS = ["signup", "view", "click", "purchase"]
