@@ -18,7 +18,7 @@ A check returns the violations as a DataFrame; zero rows means pass.
 Suites fuse further: per model, all declared ``unique`` / ``relationships`` /
 ``accepted_values`` columns are read in one scan as ``(column_name, value)``
 pairs and checked with one grouped aggregate (and one anti join against the
-tagged union of the parents' keys).
+tagged union of the parents' keys). ``check_summary`` goes further and counts every test of every model in one grouping.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DateType, IntegralType, StringType, TimestampNTZType, TimestampType
 
 from martlet.config import BATCH_COL, DECLARED_TESTS
 
@@ -207,47 +207,113 @@ def batch_row_count_suite(models: dict[str, DataFrame], raw: dict[str, DataFrame
             .select("model", "source_table", F.lit(batch_id).alias("batch_id"), "raw_rows", "staged_rows"))
 
 
-def check_summary_parts(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch_id: str,
-                        declared: dict = DECLARED_TESTS) -> dict[str, DataFrame]:
-    """Per check family, one row per declared test: ``(test_name, model, column_name, failures)``.
+# --- the summary: every declared test of every model from one scan per model -----------------------
 
-    The families are independent jobs; ``check_summary`` is their union and
-    ``plans.job`` submits them concurrently.
+_BITS = 60  # columns per null mask
+
+
+def _element(domain: int, slot: int, v=None, s=None):
+    null = lambda t: F.lit(None).cast(t)
+    return F.struct(F.lit(domain).alias("domain"), F.lit(slot).alias("slot"), (null("bigint") if v is None else v).alias("v"),
+                    (null("string") if s is None else s).alias("s"))
+
+
+def _integral(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, IntegralType)
+
+
+def _check_key_type(model: str, df: DataFrame, column: str) -> None:
+    kind = df.schema[column].dataType
+    if not isinstance(kind, (IntegralType, StringType, DateType, TimestampType, TimestampNTZType)):
+        raise ValueError(f"{model}.{column}: keys of type {kind.simpleString()} have no one text; use unique() or relationships() for them")
+
+
+class _Plan:
+    """Which elements every model's rows give, and which test reads which figure of which domain.
+
+    A domain is one set of values: a unique or referenced column (slot 0) with the columns that refer to it (slots from 1), the null masks
+    of a model (its RAW rows in slot 1), or the unaccepted values of a column.
     """
-    parts = {}
-    if any(True for _ in _declared("not_null", models, declared)):
-        parts["not_null"] = (not_null_suite(models, declared)
-                             .select(F.lit("not_null").alias("test_name"), "model", "column_name", "failures"))
-    # Fused detail rows per model, then failures per declared test. Tests with no
-    # violation have no detail row, so the declared list is the left side.
-    for kind, detail, failures in (
-            ("unique", unique_suite, F.count(F.lit(1))),
-            ("relationships", relationships_suite, F.sum("n_records")),
-            ("accepted_values", accepted_values_suite, F.count(F.lit(1)))):
-        tests = [(m, c) for m, spec in _declared(kind, models, declared) for c in spec]
-        if not tests:
-            continue
-        per_test = (detail(models, declared).groupBy("model", "column_name")
-                    .agg(failures.cast("bigint").alias("failures")))
-        listed = models[tests[0][0]].sparkSession.createDataFrame(tests, "model string, column_name string")
-        parts[kind] = (listed.join(per_test, ["model", "column_name"], "left")
-                       .select(F.lit(kind).alias("test_name"), "model", "column_name",
-                               F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
-    pairs = [(m, models[m], src, raw[src]) for m, src in _declared("row_count_source", models, declared)]
-    if pairs:
-        parts["batch_row_count_matches"] = row_counts(pairs, batch_id).select(
-            F.lit("batch_row_count_matches").alias("test_name"), "model",
-            F.lit(None).cast("string").alias("column_name"),
-            F.when(_row_count_failed(), 1).otherwise(0).cast("bigint").alias("failures"))
-    return parts
+
+    def __init__(self, models: dict[str, DataFrame], declared: dict):
+        self.elements: dict[str, list] = {m: [] for m in models}
+        self.raw: list[tuple[str, int, str]] = []  # model, domain, source table
+        self.tests: list[tuple] = []  # test_name, model, column_name, domain, figure, failures without any row
+        self.domains, self.width, self.bits = 0, 2, 0
+        keys: dict[tuple[str, str], list[tuple[str, str]]] = {}
+        for m, columns in _declared("unique", models, declared):
+            for c in columns:
+                keys.setdefault((m, c), [])
+                self.tests.append(("unique", m, c, (m, c), "duplicated", 0))
+        for m, spec in _declared("relationships", models, declared):
+            for c, parent in spec.items():
+                children = keys.setdefault(tuple(parent), [])
+                children.append((m, c))
+                self.tests.append(("relationships", m, c, tuple(parent), f"orphans_{len(children)}", 0))
+        numbers = {}
+        for key, children in keys.items():
+            members = [key, *children]
+            for m, c in members:
+                _check_key_type(m, models[m], c)
+            whole = all(_integral(models[m], c) for m, c in members)
+            numbers[key] = self._next()
+            for slot, (m, c) in enumerate(members):
+                v = F.col(c).cast("bigint") if whole else None
+                self.elements[m].append(_element(numbers[key], slot, v=v, s=None if whole else F.col(c).cast("string")))
+            self.width = max(self.width, len(members))
+        self.tests = [(t, m, c, numbers[d], figure, none) for t, m, c, d, figure, none in self.tests]
+        for m, spec in _declared("accepted_values", models, declared):
+            for c, values in spec.items():
+                bad = F.when(~F.col(c).isin(list(values)), F.col(c).cast("string"))
+                self.tests.append(("accepted_values", m, c, self._next(), "unaccepted", 0))
+                self.elements[m].append(_element(self.domains - 1, 0, s=bad))
+        sources = dict(_declared("row_count_source", models, declared))
+        tested = dict(_declared("not_null", models, declared))
+        for m in models:
+            columns = list(tested.get(m, []))
+            for at in range(0, len(columns) or (m in sources), _BITS):
+                domain, part = self._next(), columns[at:at + _BITS]
+                mask = reduce(lambda a, b: a + b, [F.when(F.col(c).isNull(), F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint") for k, c in enumerate(part)],
+                              F.lit(0).cast("bigint"))
+                self.elements[m].append(_element(domain, 0, v=mask))
+                self.bits = max(self.bits, len(part))
+                self.tests += [("not_null", m, c, domain, f"null_{k}", 0) for k, c in enumerate(part)]
+                if at == 0 and m in sources:
+                    self.raw.append((m, domain, sources[m]))
+                    self.tests.append(("batch_row_count_matches", m, None, domain, "count_differs", 1))
+
+    def _next(self) -> int:
+        self.domains += 1
+        return self.domains - 1
 
 
 def check_summary(models: dict[str, DataFrame], raw: dict[str, DataFrame], batch_id: str,
                   declared: dict = DECLARED_TESTS) -> DataFrame:
     """One row per declared test: ``(test_name, model, column_name, failures)``.
 
-    ``failures`` counts what the test would return: null rows, duplicated
-    values, orphan child rows, unexpected values, or 1 for a failed row-count
-    reconciliation.
+    ``failures`` counts what the test would return: null rows, duplicated values, orphan child rows, unexpected values, or 1 for a
+    failed row-count reconciliation.
+
+    Every model is scanned once, and RAW once more per counted table. A row gives one element per key column, per reference, per column with accepted values, and one
+    mask of its null columns; all elements of all models are counted in one grouping by (domain, value), combined map-side, so neither a hot reference nor the masks
+    cost more than one row per task, and orphans need no join: a parent's own count of a value stands beside its children's.
     """
-    return union_all(list(check_summary_parts(models, raw, batch_id, declared).values()))
+    plan = _Plan(models, declared)
+    parts = [models[m].select(F.inline(F.array(*elements))) for m, elements in plan.elements.items() if elements]
+    parts += [raw[src].filter(F.col(BATCH_COL) == F.lit(batch_id)).select(_element(d, 1, v=F.lit(0).cast("bigint")).alias("e")).select("e.*") for _, d, src in plan.raw]
+    spark = next(iter(models.values())).sparkSession
+    elements = union_all(parts) if parts else spark.createDataFrame([], "domain int, slot int, v bigint, s string")
+    n = [f"n{i}" for i in range(plan.width)]
+    # nulls pass the tests on values, but a null value still stands for its row in a mask's or an accepted column's count
+    counted = (elements.filter(F.col("v").isNotNull() | F.col("s").isNotNull()).groupBy("domain", "v", "s")
+               .agg(*[F.count_if(F.col("slot") == i).alias(name) for i, name in enumerate(n)]))
+    own, zero = F.col("n0"), F.lit(0).cast("bigint")
+    figures = {"duplicated": F.count_if(own > 1), "unaccepted": F.count(F.lit(1)), "raw_rows": F.sum("n1"), "staged_rows": F.sum("n0"),
+               **{f"orphans_{i}": F.sum(F.when(own == 0, F.col(n[i])).otherwise(zero)) for i in range(1, plan.width)},
+               **{f"null_{k}": F.sum(F.when(F.col("v").bitwiseAND(F.lit(1 << k).cast("bigint")) != 0, own).otherwise(zero)) for k in range(plan.bits)}}
+    found = counted.groupBy("domain").agg(*[c.alias(name) for name, c in figures.items()])
+    found = found.withColumn("count_differs", F.when((F.col("raw_rows") == 0) | (F.col("raw_rows") != F.col("staged_rows")), 1).otherwise(0).cast("bigint"))
+    named = [name for name in found.columns if name != "domain"]
+    figure = F.create_map(*[x for name in named for x in (F.lit(name), F.col(name))])[F.col("figure")]
+    listed = spark.createDataFrame(plan.tests, "test_name string, model string, column_name string, domain int, figure string, without_rows bigint")
+    return listed.join(found, "domain", "left").select("test_name", "model", "column_name", F.coalesce(figure, "without_rows").alias("failures"))

@@ -10,8 +10,7 @@ schedules the concurrent jobs on the same executors:
 1. ``dim_customers``, ``dim_products`` and ``fct_order_items`` are written
    concurrently (full refresh);
 2. ``mart_daily_sales`` is aggregated from the *written* fact;
-3. the check families (not_null, unique, relationships, accepted values, row
-   counts) and the four reconciliations run concurrently on the written
+3. the declared checks (one job) and the four reconciliations run concurrently on the written
    tables; their per-test failure counts (one row per declared test) are
    written as ``check_results``.
 
@@ -101,11 +100,11 @@ def build_and_check(spark: SparkSession, raw: dict[str, DataFrame], out_root: st
             out["mart_daily_sales"]),
     }
     # Only per-test summaries reach the driver: one row per declared test, one count per reconciliation.
-    generic = checks.check_summary_parts(models, raw, batch_id, declared)
-    actions = {f"generic:{kind}": (lambda df=df: [tuple(r) for r in df.collect()]) for kind, df in generic.items()}
+    generic = checks.check_summary(models, raw, batch_id, declared)
+    actions = {"generic": lambda: [tuple(r) for r in generic.collect()]}
     actions.update({name: (lambda f=fn: f().count()) for name, fn in singular.items()})
     results = run_concurrently(actions, workers)
-    rows = [row for name in generic for row in results.pop(f"generic:{name}")]
+    rows = results.pop("generic")
     rows += [("singular", name, None, int(n)) for name, n in results.items()]
     table = spark.createDataFrame(rows, "test_name string, model string, column_name string, failures bigint")
     table.select(F.lit(batch_id).alias("batch_id"), "*").write.mode("overwrite").parquet(f"{out_root}/check_results")
