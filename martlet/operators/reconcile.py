@@ -59,7 +59,9 @@ def fact_reconciliation(fct: DataFrame, stg_items: DataFrame, stg_orders: DataFr
                              F.col("cost").alias("i_cost"), F.col("source_batch_id").alias("i_source_batch_id"),
                              F.col("product_id").alias("i_product_id"))
     fact_keys = fct.select(F.col("order_item_id").alias("k")).distinct()
-    items_only = s.join(fact_keys, F.col("s_order_item_id") == F.col("k"), "left_anti")
+    # an item without a fact row is a violation whatever else it holds, so only the join keys go along
+    items_only = (s.select("s_order_item_id", "s_order_id", "s_inventory_item_id")
+                  .join(fact_keys, F.col("s_order_item_id") == F.col("k"), "left_anti"))
     outer = (f.join(s, F.col("f_order_item_id") == F.col("s_order_item_id"), "left")
              .unionByName(items_only, allowMissingColumns=True))
     j = (outer.join(o, F.col("s_order_id") == F.col("o_order_id"), "left")

@@ -31,6 +31,7 @@ from martlet.operators import checks, reconcile
 from martlet.plans import marts
 from martlet.plans.batch_build import Build, build, materialize
 from martlet.session import run_concurrently
+from martlet.sources import versions
 from martlet.sources.landing import assert_loadable, batch_manifest, complete_batches, read_raw
 
 
@@ -51,36 +52,27 @@ class CheckFailure(RuntimeError):
         self.totals = totals
 
 
-def _publish(spark: SparkSession, run_root: str, out_root: str) -> None:
-    """Move a run's tables to ``out_root``, and the ones they replace to the run's ``previous`` folder.
-
-    Readers see the old or the new table of each name; a failure in between leaves every file under one of the two roots.
-    """
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = Path(out_root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(Path(f"{run_root}/previous"))
-    for name in (*PUBLISHED, "check_results"):
-        new, live, old = Path(f"{run_root}/{name}"), Path(f"{out_root}/{name}"), Path(f"{run_root}/previous/{name}")
-        if fs.exists(live) and not fs.rename(live, old):
-            raise RuntimeError(f"could not set aside {out_root}/{name}")
-        if not fs.rename(new, live):
-            fs.rename(old, live)
-            raise RuntimeError(f"could not publish {out_root}/{name}")
+PUBLISHED = ("dim_customers", "dim_products", "fct_order_items", "mart_daily_sales")
 
 
-PUBLISHED = ("dim_customers", "dim_products", "fct_order_items", "mart_daily_sales")
+def published(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
+    """The published tables and their ``check_results``, all of one build; nothing before the first."""
+    _, state = versions.current(spark, out_root)
+    return {name: spark.read.parquet(f"{out_root}/{folder}") for name, folder in state.get("tables", {}).items()}
 
 
 def build_and_check(spark: SparkSession, raw: dict[str, DataFrame], out_root: str, batch_id: str,
                     declared: dict = DECLARED_TESTS, workers: int = 4, fail_on_errors: bool = True) -> dict[str, int]:
     """Build the four tables for one batch, check them, publish them; failures per check family.
 
-    Tables are written under ``out_root/_runs/<run>`` and checked there. Only then do they replace the
-    published ones. With ``fail_on_errors`` a failed check raises ``CheckFailure`` instead, and what was
-    published before stays as it is.
+    Tables are written under ``out_root/_runs/<run>``, checked there and stay there. Then one pointer file makes all of them
+    current at once (``published`` reads them by it): whatever fails before leaves the old set whole, and of two builds that began from
+    the same version only the first is published. With ``fail_on_errors`` a failed check raises ``CheckFailure`` and publishes nothing.
     """
     require_batch_id(batch_id)
-    live_root, out_root = out_root, f"{out_root}/_runs/{uuid.uuid4().hex}"
+    live_root, run = out_root, f"_runs/{uuid.uuid4().hex}"
+    out_root = f"{live_root}/{run}"
+    began_from, _ = versions.current(spark, live_root)
     staged_build = build(raw, batch_id)
     out = run_concurrently({name: (lambda n=name: materialize(getattr(staged_build, n), f"{out_root}/{n}"))
                             for name in ("dim_customers", "dim_products", "fct_order_items")}, workers)
@@ -113,7 +105,7 @@ def build_and_check(spark: SparkSession, raw: dict[str, DataFrame], out_root: st
         totals[test_name] = totals.get(test_name, 0) + int(failures)
     if fail_on_errors and any(totals.values()):
         raise CheckFailure(batch_id, totals)
-    _publish(spark, out_root, live_root)
+    versions.publish(spark, live_root, {"batch_id": batch_id, "tables": {name: f"{run}/{name}" for name in (*PUBLISHED, "check_results")}}, after=began_from)
     return totals
 
 
