@@ -71,13 +71,13 @@ def late_rows(delivered: DataFrame, closed: DataFrame, *, instant: str, keys: li
     ``event_count`` counts all delivered rows, ``closed_count`` those the window was written with (0 where it never had any in time). ``delivered`` must be the rows
     that the passes have read. ``since`` leaves out windows that begin before an instant, to keep a regular run to the time that late rows can still concern.
     """
-    # one row: the watermark; it is joined by a constant key, so no row meets more than one
-    mark = delivered.agg((F.max(instant) - F.expr(f"INTERVAL {delay}")).alias("mark")).select("mark", F.lit(True).alias("one"))
+    # the watermark is one number, read by an aggregate over the delivered rows
+    micros = delivered.agg(F.unix_micros(F.max(instant) - F.expr(f"INTERVAL {delay}"))).first()[0]
+    mark = F.timestamp_micros(F.lit(micros).cast("bigint"))
     rows, known = delivered, closed.select("window_start", *keys, F.col(COUNT).alias("n"))
     if since is not None:
         rows, known = rows.filter(F.col(instant) >= F.lit(since).cast("timestamp")), known.filter(F.col("window_start") >= F.lit(since).cast("timestamp"))
-    recount = _windows(rows, instant, keys, width, {}).withColumn("one", F.lit(True))
-    over = recount.join(F.broadcast(mark), "one").filter(F.col("window_end") <= F.col("mark")).drop("one", "mark")
+    over = _windows(rows, instant, keys, width, {}).filter(F.col("window_end") <= mark)
     # both sides are one row per window and key, so they meet in a grouping, null keys included
     met = (over.select("window_start", "window_end", *keys, F.col(COUNT).alias("n"), F.lit(0).cast("bigint").alias("c"))
            .unionByName(known.select("window_start", F.lit(None).cast("timestamp").alias("window_end"), *keys, F.lit(0).cast("bigint").alias("n"), F.col("n").alias("c"))))
