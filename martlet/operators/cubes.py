@@ -1,8 +1,8 @@
 """Cube with exact distinct counts of several ids, rolled up from one base of bitmaps.
 
 The rows are read and grouped once, by all dimensions and by blocks of 32,768 ids, each block a bitmap. Every coarser level ORs
-the bitmaps of the base; no level goes back to the rows, and a row is not repeated per level. Both groupings combine map-side, so a group of a
-third of all rows is spread over tasks. A bitmap takes 4 KB whatever it holds, so this suits ids that lie close together (keys that a database
+the bitmaps of the base; no level goes back to the rows, and a row is not repeated per level. Rows are first reduced map-side to each group's distinct ids, so a group of a
+third of all rows, or an id of as many, is spread over tasks; blocks are then made whole in one task each, so bitmaps are not made once per task. A bitmap takes 4 KB whatever it holds, so this suits ids that lie close together (keys that a database
 numbered); scattered ids are still counted exactly, at more memory per id.
 
 Defined cases: a null id is not counted; a null dimension is a value of its own, told from "all" by ``level`` (one bit per dimension, the first the
@@ -36,9 +36,11 @@ def sales_cube(rows: DataFrame, dimensions: list[str], ids: dict[str, str], sums
     if ids:
         # one row per id column: all of them share the grouping
         each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("bigint").alias("id")) for k, c in enumerate(ids)]))
-        held = (rows.select(*dims, each.alias("x")).filter("x.id IS NOT NULL")
-                .select(*named, "x.kind", F.bitmap_bucket_number("x.id").alias("block"), F.bitmap_bit_position("x.id").alias("bit")))
-        base = held.groupBy(*named, "kind", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+        held = rows.select(*dims, each.alias("x")).filter("x.id IS NOT NULL").select(*named, "x.kind", "x.id")
+        # each (group, id) once, then a block's rows in one task: no task makes bitmaps of its own for blocks that others hold too, so
+        # there are as many bitmaps as groups and blocks, however many tasks read the rows; a block has at most 32,768 ids per group
+        blocked = held.distinct().select("*", F.bitmap_bucket_number("id").alias("block")).repartition("kind", "block")
+        base = blocked.withColumn("bit", F.bitmap_bit_position("id")).groupBy(*named, "kind", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
         merged = rolled(base, ["kind", "block"], [F.bitmap_count(F.bitmap_or_agg("bits")).alias("c")])
         counted = merged.groupBy(*named, "level").agg(*[F.sum(F.when(F.col("kind") == k, F.col("c"))).alias(f"c{k}") for k in range(len(ids))])
         other = counted.toDF(*[f"of_{c}" if c in (*named, "level") else c for c in counted.columns])
