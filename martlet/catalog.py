@@ -22,7 +22,7 @@ from martlet.operators import asof, checks, cubes, export, funnel, history, prof
 from martlet.plans import incremental, marts
 from martlet.plans.batch_build import Build, build, materialize
 from martlet.plans.staging import select_batch, stg_events
-from martlet.session import configure, work_dir
+from martlet.session import configure, remove_folder, size_shuffles, work_dir
 from martlet.sources import faults, landing
 from martlet.sources.driver_tables import (EXTRACTED_AT, SECOND_BATCH, SELECTED_BATCH, SOURCE_KEYS, SOURCE_TABLE,
                                            extract, raw_tables)
@@ -61,6 +61,7 @@ def stored_raw(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Landed
     ``_BATCH_ID``-partitioned Parquet table in the checkpoint folder."""
     configure(spark)
     key = (spark.sparkContext.applicationId, _sources(spark, sf_dir), faulty)
+    size_shuffles(spark, sum(size for _, size, _ in key[1]))
     with _LOCK:
         if key not in _STORED:
             root = work_dir(spark, "raw-faulty" if faulty else "raw")
@@ -89,6 +90,18 @@ def faulty_build(spark: SparkSession, sf_dir: str) -> Build:
     return _cached_build(spark, sf_dir, True)
 
 
+def _written_fact(spark: SparkSession, b: Build, root: str) -> DataFrame:
+    """The fact as a table; its joins run one after the other, with a table between them that goes when the fact is written."""
+    def stored(priced: DataFrame) -> DataFrame:
+        # all staged rows are of one batch, whose id need not be stored or shuffled
+        return materialize(priced.drop("source_batch_id"), f"{root}/priced_items").withColumn("source_batch_id", F.lit(b.batch_id))
+
+    fct = marts.fct_order_items(*(b.staged[m] for m in ("stg_order_items", "stg_orders", "stg_inventory_items")), stored)
+    fct = materialize(fct, f"{root}/fct_order_items")
+    remove_folder(spark, f"{root}/priced_items")
+    return fct
+
+
 def built_tables(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Build:
     """The build with fact and mart written as tables (as they are in production; the mart
     on its first use): checks and reconciliations read them from Parquet instead of re-joining
@@ -99,7 +112,7 @@ def built_tables(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Buil
         if key not in _BUILDS:
             root = work_dir(spark, "marts-faulty" if faulty else "marts")
             b.raw.land(("order_items", "orders", "inventory_items"))
-            fct = materialize(b.fct_order_items, f"{root}/fct_order_items")
+            fct = _written_fact(spark, b, root)
             _BUILDS[key] = b.with_tables(fct, lambda: materialize(marts.mart_daily_sales(fct), f"{root}/mart_daily_sales"))
         return _BUILDS[key]
 

@@ -12,6 +12,8 @@ over many tasks and only partial counts are shuffled by day.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,16 +39,15 @@ def dim_products(stg_products: DataFrame) -> DataFrame:
         "distribution_center_id", "source_batch_id", "extracted_at")
 
 
-def fct_order_items(stg_order_items: DataFrame, stg_orders: DataFrame,
-                    stg_inventory_items: DataFrame) -> DataFrame:
+def fct_order_items(stg_order_items: DataFrame, stg_orders: DataFrame, stg_inventory_items: DataFrame,
+                    stored: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``stored`` may put the items with their costs into a table, so the first join's shuffles are gone before the second's are made."""
     orders = stg_orders.select("order_id", "source_batch_id", F.col("created_at").alias("order_created_at"))
     inventory = stg_inventory_items.select("inventory_item_id", "source_batch_id",
                                            F.col("cost").alias("inventory_cost"))
     # orders last: an order's items are then written together, and counts of distinct orders and buyers combine map-side
-    joined = (stg_order_items
-              .join(inventory, ["inventory_item_id", "source_batch_id"], "left")
-              .join(orders, ["order_id", "source_batch_id"], "left"))
-    return fact_columns(joined)
+    priced = stored(stg_order_items.join(inventory, ["inventory_item_id", "source_batch_id"], "left"))
+    return fact_columns(priced.join(orders, ["order_id", "source_batch_id"], "left"))
 
 
 def fact_columns(joined: DataFrame) -> DataFrame:
