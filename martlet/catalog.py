@@ -215,8 +215,8 @@ def q_recon_dimension_coverage(spark, sf_dir):
 @register("recon_fact")
 def q_recon_fact(spark, sf_dir):
     b = built_tables(spark, sf_dir)
-    return reconcile.fact_reconciliation(faults.tamper_fact(b.fct_order_items), b.staged["stg_order_items"],
-                                         b.staged["stg_orders"], b.staged["stg_inventory_items"])
+    return reconcile.fact_reconciliation(faults.tamper_fact(b.fct_order_items), b.staged["stg_order_items"], b.staged["stg_orders"],
+                                         b.staged["stg_inventory_items"], lambda half: materialize(half, work_dir(spark, "recon-fact")))
 
 
 @register("recon_order_quantities")

@@ -5,6 +5,8 @@ Each returns the violating keys; zero rows means the model reconciles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,8 @@ def dimension_coverage(stg_users: DataFrame, dim_customers: DataFrame,
             .unionByName(_coverage("products", stg_products, dim_products, "product_id")))
 
 
-def fact_reconciliation(fct: DataFrame, stg_items: DataFrame, stg_orders: DataFrame,
-                        stg_inventory: DataFrame) -> DataFrame:
+def fact_reconciliation(fct: DataFrame, stg_items: DataFrame, stg_orders: DataFrame, stg_inventory: DataFrame,
+                        stored: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Per-key reconciliation of the fact against its staged sources.
 
     Full outer fact<->items on the item id, then left joins to orders and
@@ -49,49 +51,50 @@ def fact_reconciliation(fct: DataFrame, stg_items: DataFrame, stg_orders: DataFr
     key on the fact side is split across tasks), plus the items whose key never
     occurs in the fact, found with an anti join against the fact's *distinct*
     keys. NULL keys behave as in the full outer join (they never match).
+
+    Every term is judged as soon as its sides have met, and its columns go no further. ``stored`` may put
+    either half into a table, so that its shuffles are gone before the next are made.
     """
-    f = fct.select(*[F.col(c).alias(f"f_{c}") for c in fct.columns])
-    s = stg_items.select(*[F.col(c).alias(f"s_{c}") for c in stg_items.columns])
-    o = stg_orders.select(F.col("order_id").alias("o_order_id"), F.col("created_at").alias("o_created_at"),
-                          F.col("source_batch_id").alias("o_source_batch_id"),
-                          F.col("customer_id").alias("o_customer_id"))
-    i = stg_inventory.select(F.col("inventory_item_id").alias("i_inventory_item_id"),
-                             F.col("cost").alias("i_cost"), F.col("source_batch_id").alias("i_source_batch_id"),
-                             F.col("product_id").alias("i_product_id"))
-    fact_keys = fct.select(F.col("order_item_id").alias("k")).distinct()
-    # an item without a fact row is a violation whatever else it holds, so only the join keys go along
-    items_only = (s.select("s_order_item_id", "s_order_id", "s_inventory_item_id")
-                  .join(fact_keys, F.col("s_order_item_id") == F.col("k"), "left_anti"))
-    outer = (f.join(s, F.col("f_order_item_id") == F.col("s_order_item_id"), "left")
-             .unionByName(items_only, allowMissingColumns=True))
-    j = (outer.join(o, F.col("s_order_id") == F.col("o_order_id"), "left")
-         .join(i, F.col("s_inventory_item_id") == F.col("i_inventory_item_id"), "left"))
     c = F.col
+    f = fct.select(*[c(name).alias(f"f_{name}") for name in fct.columns])
+    s = stg_items.select(*[c(name).alias(f"s_{name}") for name in stg_items.columns])
+    o = stg_orders.select(c("order_id").alias("o_order_id"), c("created_at").cast("date").alias("o_order_date"),
+                          c("source_batch_id").alias("o_source_batch_id"), c("customer_id").alias("o_customer_id"))
+    i = stg_inventory.select(c("inventory_item_id").alias("i_inventory_item_id"), c("cost").alias("i_cost"),
+                             c("source_batch_id").alias("i_source_batch_id"), c("product_id").alias("i_product_id"))
     s_amount = c("s_sale_price").cast(MONEY)
-    i_cost = c("i_cost").cast(MONEY)
     status = c("s_order_item_status")
-    violated = any_distinct(
+    at_item = any_distinct(
         [(c("f_order_id"), c("s_order_id")),
          (c("f_customer_id"), c("s_customer_id")),
          (c("f_product_id"), c("s_product_id")),
          (c("f_inventory_item_id"), c("s_inventory_item_id")),
          (c("f_order_item_status"), c("s_order_item_status")),
          (c("f_item_amount"), s_amount),
-         (c("f_unit_cost"), i_cost),
-         (c("f_order_date"), c("o_created_at").cast("date")),
          (c("f_source_batch_id"), c("s_source_batch_id")),
-         (c("f_source_batch_id"), c("o_source_batch_id")),
-         (c("f_source_batch_id"), c("i_source_batch_id")),
-         (c("f_customer_id"), c("o_customer_id")),
-         (c("f_product_id"), c("i_product_id")),
          (c("f_completed_sales_amount"), iff_money(status == "complete", s_amount)),
-         (c("f_completed_cost_amount"), iff_money(status == "complete", i_cost)),
          (c("f_cancelled_item_amount"), iff_money(status == "cancelled", s_amount)),
          (c("f_returned_item_amount"), iff_money(status == "returned", s_amount))],
-        extra=[c("f_order_item_id").isNull(), c("s_order_item_id").isNull(),
-               c("f_completed_gross_margin_amount")
-               != c("f_completed_sales_amount") - c("f_completed_cost_amount")])
-    return j.filter(violated).select(F.coalesce(c("f_order_item_id"), c("s_order_item_id")).alias("order_item_id"))
+        extra=[c("s_order_item_id").isNull(),
+               F.coalesce(c("f_completed_gross_margin_amount") != c("f_completed_sales_amount") - c("f_completed_cost_amount"), F.lit(False))])
+    # what the later terms read goes on, with the outcome of these
+    ids = [F.coalesce("f_order_item_id", "s_order_item_id").alias("order_item_id"), "s_order_id", "s_inventory_item_id"]
+    matched = (f.join(s, c("f_order_item_id") == c("s_order_item_id"), "left")
+               .select(*ids, (c("f_order_item_id").isNull() | at_item).alias("violated"), "f_order_date", "f_source_batch_id", "f_customer_id", "f_product_id",
+                       "f_unit_cost", "f_completed_cost_amount", (status == "complete").alias("s_is_complete")))
+    fact_keys = fct.select(c("order_item_id").alias("k")).distinct()
+    # an item without a fact row is a violation whatever else it holds, so only the join keys go along
+    items_only = (s.select("s_order_item_id", "s_order_id", "s_inventory_item_id").join(fact_keys, c("s_order_item_id") == c("k"), "left_anti")
+                  .select(c("s_order_item_id").alias("order_item_id"), "s_order_id", "s_inventory_item_id", F.lit(True).alias("violated")))
+    outer = stored(matched).unionByName(stored(items_only), allowMissingColumns=True)
+    at_order = any_distinct([(c("f_order_date"), c("o_order_date")), (c("f_source_batch_id"), c("o_source_batch_id")), (c("f_customer_id"), c("o_customer_id"))])
+    ordered = (outer.join(o, c("s_order_id") == c("o_order_id"), "left").withColumn("violated", c("violated") | at_order)
+               .drop("f_order_date", "f_customer_id", "s_order_id", *o.columns))
+    i_cost = c("i_cost").cast(MONEY)
+    at_unit = any_distinct([(c("f_unit_cost"), i_cost), (c("f_source_batch_id"), c("i_source_batch_id")), (c("f_product_id"), c("i_product_id")),
+                            (c("f_completed_cost_amount"), iff_money(c("s_is_complete"), i_cost))])
+    return (ordered.join(i, c("s_inventory_item_id") == c("i_inventory_item_id"), "left")
+            .filter(c("violated") | at_unit).select("order_item_id"))
 
 
 def order_quantities(stg_orders: DataFrame, fct: DataFrame) -> DataFrame:
