@@ -14,7 +14,7 @@ from martlet import catalog
 from martlet.functions.money import MONEY, iff_money
 from martlet.functions.predicates import any_distinct
 from martlet.operators import reconcile
-from martlet.plans import marts
+from martlet.plans import incremental, marts
 from martlet.plans.batch_build import Build
 from martlet.session import PARTITION_BYTES, configure, size_shuffles
 
@@ -108,3 +108,18 @@ def test_terms_judged_early_report_the_same_rows(spark, seed):
     got = reconcile.fact_reconciliation(tampered, items, orders, units, lambda half: halves.append(half.columns) or half)
     assert sorted(map(str, got.collect())) == sorted(map(str, whole_reconciliation(tampered, items, orders, units).collect()))
     assert [len(h) for h in halves] == [11, 4]  # of 23 and 14 columns
+
+
+def test_a_run_keeps_only_the_tables_that_it_still_needs(spark, monkeypatch):
+    root, upto = tempfile.mkdtemp(prefix="martlet-incremental-"), inc.batch(spark, random.Random(3), inc.BATCHES[0])
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_replace_parts", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            incremental.apply_batch(spark, root, upto, inc.BATCHES[0])
+    assert sorted(os.listdir(f"{root}/_runs/{inc.BATCHES[0]}")) == ["daily", "gone", "parts", "rows", "touched"]
+    assert incremental.apply_batch(spark, root, upto, inc.BATCHES[0])
+    inc.same(spark, root, upto)
